@@ -42,7 +42,10 @@ class Tables:
     def sql(self, text: str) -> DataFrame:
         """Run a text that names tables as ``{orders}``; the same text feeds the SQL counterpart."""
         used = {name: getattr(self, name) for name in set(_NAMED.findall(text))}
-        return self.spark.sql(text, **used)
+        quoted = text.replace("{", "{{").replace("}", "}}")
+        for name in used:
+            quoted = quoted.replace("{{" + name + "}}", "{" + name + "}")
+        return self.spark.sql(quoted, **used) if used else self.spark.sql(text)
 
     def scratch(self, name: str) -> str:
         return scratch(self.spark, name)
