@@ -1,6 +1,6 @@
 """All registered queries; importing a module registers its queries."""
 
-from lakeloom.queries import lineage, columns, calendar, history  # noqa: F401
+from lakeloom.queries import lineage, columns, relational, calendar, history  # noqa: F401
 from lakeloom.queries.base import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
