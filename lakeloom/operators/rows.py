@@ -21,25 +21,34 @@ def newest(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int =
 
 
 def running_id(
-    df: DataFrame, bucket: str, order: Sequence[str], name: str = "id", start: int = 1
+    df: DataFrame,
+    bucket: str,
+    order: Sequence[str],
+    name: str = "id",
+    start: int = 1,
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """Number the rows without a gap, by ``bucket`` and then ``order``.
+    """Number the rows without a gap, by ``bucket`` and then ``order``, anew in each ``within`` group.
 
     Rows are numbered inside their bucket; only the bucket counts, one small row each, meet in one
     task to give the offsets.
     """
-    counts = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    group = [*within, bucket]
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        F.col(bucket).alias("_bucket"),
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
     )
-    within = F.row_number().over(Window.partitionBy(bucket).orderBy(*order))
+    same = reduce(
+        Column.__and__, [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
+    )
+    number = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     return (
-        df.withColumn("_within", within)
-        .join(offsets, F.col(bucket).eqNullSafe(F.col("_bucket")))
+        df.withColumn("_within", number)
+        .join(offsets, same)
         .withColumn(name, F.col("_offset") + F.col("_within") + F.lit(start - 1))
-        .drop("_bucket", "_offset", "_within")
+        .drop("_offset", "_within", *[f"_g{i}" for i in range(len(group))])
     )
 
 
