@@ -215,22 +215,15 @@ def time_dimension(dates: DataFrame, step: int = 60) -> DataFrame:
 
     Instants after that month are not generated. A range starting late in a month gives fewer rows.
     """
-    first = dates.agg(F.min("Date").alias("_first"))
-    last = dates.agg(F.max("Date").alias("_last"))
-    # One row each: the first month of the range, and the midnight after it if the range reaches it.
-    month = (
-        first.crossJoin(last)
-        .select(
-            F.explode(
-                F.array("_first", F.least(F.date_add(F.last_day("_first"), 1), F.col("_last")))
-            ).alias("Date"),
-            F.trunc("_first", "month").alias("_month"),
-        )
+    ends = dates.agg(F.min("Date").alias("first"), F.max("Date").alias("last"))
+    # Two dates bound the instants: the first one, and the first of the next month or the last one.
+    month = ends.select(
+        F.explode(F.array("first", F.least(F.date_add(F.last_day("first"), 1), F.col("last")))).alias("Date")
     )
-    keep = month.agg(F.max("_month").alias("_month"))
-    rows = expand_to_datetime(month.select("Date"), step)
+    first_month = ends.select(F.trunc("first", "month")).scalar()
     return (
-        rows.join(F.broadcast(keep), F.trunc("Date", "month") == F.col("_month"))  # one row
+        expand_to_datetime(month, step)
+        .filter(F.trunc("Date", "month") == first_month)
         .select(*WEEK_COLUMNS, *TIME_COLUMNS)
         .dropDuplicates(["WeekTimePK"])
     )
@@ -241,13 +234,12 @@ def date_minute_view(
 ) -> DataFrame:
     """Dates with all their minutes; ``window`` keeps the starts of windows of that many minutes.
 
-    The minute-of-week table has at most one row per second of a week, Spark's own size limit
-    decides whether it is broadcast.
+    The minute-of-week table is broadcast: it has one row per minute of a week, 10,080 at most.
     """
     if window is not None:
         times = times.filter(F.col(f"IsWindow{window}MinuteStart"))
     view = dates.join(mapping, dates["DatePK"] == mapping["DateUtcFK"], "left").join(
-        times.select(*WEEK_COLUMNS, *TIME_COLUMNS),
+        F.broadcast(times.select(*WEEK_COLUMNS, *TIME_COLUMNS)),
         "WeekTimePK",
         "left" if window is None else "inner",
     )
@@ -285,8 +277,8 @@ def days_off(holidays: DataFrame) -> DataFrame:
     """The days-off table with a running id by date, type and comment."""
     rows = holidays.select(
         F.col("date").alias("Date"), F.col("type").alias("Type"), F.col("name").alias("Comment")
-    ).withColumn("_year", F.year("Date"))
-    return running_id(rows, "_year", ["Date", "Type", "Comment"], "Id").select(
+    )
+    return running_id(rows, "Date", ["Type", "Comment"], "Id").select(
         "Id", "Date", "Type", "Comment"
     )
 

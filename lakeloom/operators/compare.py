@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.operators.filters import without_audit_columns
-from lakeloom.operators.rows import running_id
+from lakeloom.operators.rows import running_offset
 
 # Relative and absolute tolerance for floating-point columns.
 RTOL, ATOL = 1e-5, 1e-8
@@ -110,17 +110,19 @@ def compare_keyed(
         raise ValueError("no key: all columns are floating-point")
     values = [c for c in a.columns if c not in keys]
     left_over = _signed_counts(a, b)
-    copies = left_over.withColumn("_source", F.col("_n") > 0).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.abs("_n")))
-    )
-    # An order-keeping piece of the first float column, so copies of one key are numbered in pieces.
+    distinct_rows = left_over.withColumn("_source", F.col("_n") > 0).withColumn("_n", F.abs("_n"))
+    # An order-keeping piece of the first float column, so rows of one key are numbered in pieces.
     first = next((c for c in values if c in floats), None)
     piece = (
         F.floor(F.signum(first) * F.log2(F.lit(1) + F.abs(F.col(first))) * 64) if first else F.lit(0)
     )
-    pieces = copies.withColumn("_piece", piece)
-    order = ([first] if first else []) + [c for c in values if c != first] + ["_copy"]
-    numbered = running_id(pieces, "_piece", order, "_number", within=["_source", *keys])
+    pieces = distinct_rows.withColumn("_piece", piece)
+    order = ([first] if first else []) + [c for c in values if c != first] or keys
+    placed = running_offset(pieces, "_piece", order, F.col("_n"), "_place", ["_source", *keys])
+    # Copies of a row take the places from its offset on.
+    numbered = placed.withColumn(
+        "_number", F.explode(F.sequence(F.col("_place") + 1, F.col("_place") + F.col("_n")))
+    )
 
     def side(is_source: bool, mark: str) -> DataFrame:
         return numbered.filter(F.col("_source") == is_source).select(

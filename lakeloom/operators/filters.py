@@ -30,8 +30,7 @@ def rows_not_in(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFra
 def newest_of_group(df: DataFrame, group: str, value: object, day: str) -> DataFrame:
     """Rows of one group that carry the group's newest day."""
     mine = df.filter(F.col(group) == F.lit(value))
-    top = mine.agg(F.max(day).alias("_top"))
-    return mine.join(F.broadcast(top), F.col(day) == F.col("_top")).drop("_top")  # one row
+    return mine.filter(F.col(day) == mine.agg(F.max(day)).scalar())
 
 
 def parameterised(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.operators.rows import equals_global_max, newest
+from lakeloom.session import cut
 
 START, END = "__START_AT", "__END_AT"
 
@@ -56,8 +57,9 @@ def scd2(
     kind = rows.schema[sequence_by].dataType
     state = F.struct(*tracked)
     chunked = rows.withColumn("_chunk", chunk if chunk is not None else default_chunk(rows, sequence_by))
-    group = [*keys, "_chunk"]
-    local = Window.partitionBy(*group).orderBy(seq)
+    # One struct as key: NULL parts match, and windows, aggregation and join share one partitioning.
+    chunked = chunked.withColumn("_group", F.struct(*keys, "_chunk")).drop("_chunk")
+    local = Window.partitionBy("_group").orderBy(seq)
     marked = chunked.select(
         "*",
         F.lag(F.lit(True)).over(local).isNull().alias("_first"),
@@ -65,15 +67,15 @@ def scd2(
     )
 
     # One row per (key, chunk): how it begins, how it ends, where its last change is.
-    ends = marked.groupBy(*group).agg(
+    ends = marked.groupBy("_group").agg(
         F.min_by(state, seq).alias("_head"),
         F.max_by(state, seq).alias("_tail"),
         F.min(seq).alias("_from"),
         F.max(F.when(F.col("_differs") & ~F.col("_first"), seq)).alias("_changed"),
     )
-    along = Window.partitionBy(*keys).orderBy("_chunk")
+    along = Window.partitionBy(*[F.col(f"_group.`{k}`") for k in keys]).orderBy("_group._chunk")
     opened = ends.select(
-        *group,
+        "_group",
         "_from",
         "_changed",
         (~F.lag("_tail").over(along).eqNullSafe(F.col("_head"))
@@ -81,16 +83,13 @@ def scd2(
     )
     last_start = F.coalesce("_changed", F.when(F.col("_opens"), F.col("_from")))
     carried = opened.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(group)],
+        F.col("_group").alias("_same"),
         "_opens",
         F.last(last_start, ignorenulls=True)
         .over(along.rowsBetween(Window.unboundedPreceding, -1))
         .alias("_open_version"),
     )
-    same_group = F.lit(True)
-    for i, k in enumerate(group):
-        same_group = same_group & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    joined = marked.join(carried, same_group)
+    joined = marked.join(carried, F.col("_group") == F.col("_same"))
 
     starts = F.when(F.col("_first"), F.col("_opens")).otherwise(F.col("_differs"))
     versioned = joined.withColumn("_starts", starts).withColumn(
@@ -136,14 +135,10 @@ def contiguous_snapshots(
         raise ValueError("on_gap is 'stop' or 'skip'")
     days = kept.select(day.alias("_day")).distinct()
     following = days.select(F.date_sub("_day", 1).alias("_day"))
-    last = days.join(following, "_day", "left_anti").agg(F.min("_day").alias("_last"))
-    first_day = days.agg(F.min("_day").alias("_begin"))
-    # One row each. A missing first day leaves nothing.
-    return (
-        kept.join(F.broadcast(last), day <= F.col("_last"))
-        .join(F.broadcast(first_day), F.col("_begin") == F.lit(begin).cast("date"))
-        .drop("_last", "_begin")
-    )
+    last = days.join(following, "_day", "left_anti").agg(F.min("_day")).scalar()
+    # A missing first day leaves nothing.
+    has_begin = days.agg(F.min("_day")).scalar() == F.lit(begin).cast("date")
+    return kept.filter((day <= last) & has_begin)
 
 
 def version_number(day: Column) -> Column:
@@ -169,10 +164,15 @@ def scd2_from_snapshots(
     tracked = [c for c in plain if c not in track_except]
     state = F.struct(*tracked) if tracked else F.struct(F.lit(1))
 
+    # The snapshot calendar, one row per snapshot. Written once: by its file size Spark sees whether it
+    # may be broadcast to the join below.
     order = Window.orderBy("_v")
-    calendar = snapshots.select(F.col(version).alias("_v")).distinct()  # one row per snapshot
-    calendar = calendar.select(
-        "_v", F.lag("_v").over(order).alias("_before"), F.lead("_v").over(order).alias("_after")
+    calendar = snapshots.select(F.col(version).alias("_v")).distinct()
+    calendar = cut(
+        calendar.select(
+            "_v", F.lag("_v").over(order).alias("_before"), F.lead("_v").over(order).alias("_after")
+        ),
+        "snapshots",
     )
     by_key = Window.partitionBy(*keys).orderBy(version)
     starts = (
@@ -207,9 +207,9 @@ def _open_rows(history: DataFrame) -> DataFrame:
     return history.filter(F.col(END).isNull())
 
 
-def _newest_start(history: DataFrame) -> DataFrame:
-    """One row: the newest start over all versions, closed ones included."""
-    return F.broadcast(history.agg(F.max(START).alias("_newest")))
+def _newest_start(history: DataFrame) -> Column:
+    """The newest start over all versions, closed ones included."""
+    return history.agg(F.max(START)).scalar()
 
 
 def deleted(history: DataFrame) -> DataFrame:
@@ -218,20 +218,12 @@ def deleted(history: DataFrame) -> DataFrame:
     This is the comparison of the original report. A key that did not change keeps its old start, so
     after change tracking unchanged keys are listed too; :func:`unseen` is the exact form.
     """
-    return (
-        _open_rows(history)
-        .join(_newest_start(history), F.col(START) != F.col("_newest"))
-        .drop("_newest")
-    )
+    return _open_rows(history).filter(F.col(START) != _newest_start(history))
 
 
 def active(history: DataFrame) -> DataFrame:
     """Open versions that started at the newest start."""
-    return (
-        _open_rows(history)
-        .join(_newest_start(history), F.col(START) == F.col("_newest"))
-        .drop("_newest")
-    )
+    return _open_rows(history).filter(F.col(START) == _newest_start(history))
 
 
 def final(live: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -241,5 +233,4 @@ def final(live: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def unseen(history: DataFrame, last_seen: str) -> DataFrame:
     """Open versions not seen in the newest load, by an untracked load column."""
-    top = F.broadcast(history.agg(F.max(last_seen).alias("_top")))  # one row
-    return _open_rows(history).join(top, F.col(last_seen) < F.col("_top")).drop("_top")
+    return _open_rows(history).filter(F.col(last_seen) < history.agg(F.max(last_seen)).scalar())

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.text import name_part, name_parts
 from lakeloom.operators.rows import running_id
-from lakeloom.session import cut
+from lakeloom.session import cut, cut_and_count
 
 SOURCE, TARGET = "source_table_full_name", "target_table_full_name"
 SOURCE_COLUMN, TARGET_COLUMN = "source_column_name", "target_column_name"
@@ -112,12 +112,8 @@ def path_stages(edges: DataFrame, stages: int = 4, **latest: object) -> DataFram
 def newest_rows_of(edges: DataFrame, target: str, entity_type: str = "PIPELINE") -> DataFrame:
     """Rows of one target on its newest date, of one entity type; the date counts all types."""
     mine = edges.filter(F.col(TARGET) == target)
-    newest = mine.agg(F.max(DAY).alias("_newest"))
-    return (
-        mine.filter(F.col("entity_type") == entity_type)
-        .join(F.broadcast(newest), F.col(DAY) == F.col("_newest"))  # one row
-        .drop("_newest")
-    )
+    newest = mine.agg(F.max(DAY)).scalar()
+    return mine.filter((F.col("entity_type") == entity_type) & (F.col(DAY) == newest))
 
 
 def recursive_lineage(
@@ -142,13 +138,13 @@ def recursive_lineage(
         .distinct(),
         "edges",
     )
-    links = direct.select(F.col(SOURCE).alias("_parent"), F.col(TARGET).alias("_node")).distinct()
+    links = direct.select(F.col(SOURCE).alias("_parent"), F.col(TARGET).alias("_node"))
     frontier = edges.sparkSession.createDataFrame([(start,)], "_node string")
     visited = frontier
     for _ in range(max_depth):
         reached = links.join(frontier, "_node").select(F.col("_parent").alias("_node")).distinct()
-        frontier = cut(reached.join(visited, "_node", "left_anti"), "level")
-        if frontier.isEmpty():
+        frontier, found = cut_and_count(reached.join(visited, "_node", "left_anti"), "level")
+        if found == 0:
             break
         visited = visited.unionByName(frontier)
     return direct.join(visited, direct[TARGET] == visited["_node"], "left_semi")
@@ -257,14 +253,19 @@ def layer_colour(name: Column) -> Column:
 def flow(lineage: DataFrame) -> DataFrame:
     """Link table of a flow diagram: one row per edge with its count, node numbers, labels, colours.
 
-    Nodes are numbered from 0 by schema and name.
+    Nodes are numbered from 0 in the order of their digest, which spreads them evenly over the
+    buckets of the numbering.
     """
     links = lineage.na.drop(subset=[SOURCE, TARGET]).groupBy(SOURCE, TARGET).agg(
         F.count(F.lit(1)).alias("value")
     )
     names = links.select(F.explode(F.array(SOURCE, TARGET)).alias("name")).distinct()
     nodes = running_id(
-        names.withColumn("_schema", F.substring_index("name", ".", 2)), "_schema", ["name"], "index", 0
+        names.withColumn("_digest", F.md5("name")).withColumn("_bucket", F.substring("_digest", 1, 3)),
+        "_bucket",
+        ["_digest"],
+        "index",
+        0,
     ).select("name", "index")
     sources = nodes.select(F.col("name").alias(SOURCE), F.col("index").alias("source"))
     targets = nodes.select(F.col("name").alias(TARGET), F.col("index").alias("target"))

@@ -30,25 +30,45 @@ def running_id(
 ) -> DataFrame:
     """Number the rows without a gap, by ``bucket`` and then ``order``, anew in each ``within`` group.
 
-    Rows are numbered inside their bucket; only the bucket counts, one small row each, meet in one
-    task to give the offsets.
     """
-    group = [*within, bucket]
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+    first = running_offset(df, bucket, order, F.lit(1), name, within)
+    return first.withColumn(name, F.col(name) + F.lit(start))
+
+
+def running_offset(
+    df: DataFrame,
+    bucket: str,
+    order: Sequence[str],
+    weight: Column,
+    name: str = "offset",
+    within: Sequence[str] = (),
+) -> DataFrame:
+    """The sum of the weights of all rows before a row, by ``bucket`` and then ``order``.
+
+    Rows are summed inside their bucket; only the bucket totals, one small row each, meet in one
+    task. Pick buckets that no large share of the rows can fall into.
+    """
+    # One struct as key: NULL parts match, and window and join share one shuffle.
+    grouped = df.withColumn("_weight", weight).withColumn("_group", F.struct(*within, bucket))
+    totals = grouped.groupBy("_group").agg(F.sum("_weight").alias("_total"))
+    parts = [F.col(f"_group.`{w}`") for w in within]
+    before = (
+        Window.partitionBy(*parts)
+        .orderBy(F.col(f"_group.`{bucket}`"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = totals.select(
+        F.col("_group").alias("_same"),
+        F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"),
     )
-    same = reduce(
-        Column.__and__, [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
+    ahead = (
+        Window.partitionBy("_group").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
-    number = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     return (
-        df.withColumn("_within", number)
-        .join(offsets, same)
-        .withColumn(name, F.col("_offset") + F.col("_within") + F.lit(start - 1))
-        .drop("_offset", "_within", *[f"_g{i}" for i in range(len(group))])
+        grouped.withColumn("_ahead", F.coalesce(F.sum("_weight").over(ahead), F.lit(0)))
+        .join(offsets, F.col("_group") == F.col("_same"))
+        .withColumn(name, F.col("_offset") + F.col("_ahead"))
+        .drop("_weight", "_group", "_same", "_offset", "_ahead")
     )
 
 
@@ -91,9 +111,8 @@ def cast_ntz_to_timestamp(df: DataFrame) -> DataFrame:
 
 def equals_global_max(df: DataFrame, column: str, equal: bool = True) -> DataFrame:
     """Rows whose column equals (or differs from) its largest value."""
-    top = df.agg(F.max(column).alias("_top"))
-    same = F.col(column) == F.col("_top")
-    return df.join(F.broadcast(top), same if equal else ~same).drop("_top")  # one row
+    same = F.col(column) == df.agg(F.max(column)).scalar()
+    return df.filter(same if equal else ~same)
 
 
 def all_but_last(df: DataFrame, key: str) -> DataFrame:

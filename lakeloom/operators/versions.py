@@ -115,7 +115,7 @@ def clustered(df: DataFrame, first: str, second: str, partitions: int, bits: int
     """Rows laid out by two columns at once, so that file statistics narrow filters on either.
 
     Both columns become ranks among ``2**bits`` approximate quantiles; their bits are interleaved
-    and the rows range-partitioned by the result. Text columns are ranked by their first characters.
+    and the rows range-partitioned by the result, then by a digest, which splits a frequent pair. Text columns are ranked by their first characters.
     """
     def as_number(name: str) -> Column:
         kind = df.schema[name].dataType.simpleString()
@@ -150,7 +150,7 @@ def clustered(df: DataFrame, first: str, second: str, partitions: int, bits: int
     )
     return (
         numbered.withColumn("_z", curve)
-        .repartitionByRange(partitions, "_z", first, second)
+        .repartitionByRange(partitions, "_z", first, second, F.xxhash64(*df.columns))
         .sortWithinPartitions("_z")
         .drop("_x", "_y", "_z")
     )

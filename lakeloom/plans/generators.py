@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.operators.rows import all_but_last
+
 # Lists the customers are drawn from.
 FIRST_NAMES = ("Anna", "Ben", "Carla", "David", "Elena", "Felix", "Gina", "Hugo", "Iris", "Jonas")
 LAST_NAMES = ("Ammann", "Berger", "Conti", "Dubois", "Egli", "Favre", "Graf", "Huber", "Iseli", "Keller")
@@ -161,8 +163,7 @@ def four_schemas(
     customer date as timestamp.
     """
     base = {"customers": customers, "orders": orders, "products": products, "order_items": order_items}
-    last = customers.agg(F.max(customer_key).alias("_last"))
-    fewer = customers.join(F.broadcast(last), F.col(customer_key) != F.col("_last")).drop("_last")  # one row
+    fewer = all_but_last(customers, customer_key)
     return {
         "schema1": base,
         "schema2": dict(base),

@@ -56,6 +56,14 @@ dates AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) A
 minutes AS (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 MINUTE)) AS ts FROM bounds),
 grid AS (SELECT ts, CAST(ts AS DATE) AS d, CAST(epoch(ts) AS BIGINT) % 86400 AS pk FROM minutes),
 weekly AS (SELECT *, CAST((isodow(ts)-1)*86400 + pk AS BIGINT) AS wk FROM grid)"""
+_FACTS = "facts AS (SELECT date_trunc('minute', ts) AS f, count(*) AS events FROM {events} GROUP BY 1)"
+
+
+def _with_events(rows, t, column):
+    """Rows with the number of events in the minute of a column."""
+    minute = F.date_trunc("minute", F.col("ts").cast("timestamp")).alias(column)
+    facts = t.events.groupBy(minute).agg(F.count(F.lit(1)).alias("events"))
+    return rows.join(facts, column, "left").withColumn("events", F.coalesce("events", F.lit(0)))
 
 
 @query(
@@ -85,63 +93,77 @@ def _(t):
 
 @query(
     "b3_expand_to_datetime",
-    f"""WITH {_EVENT_MINUTES}
+    f"""WITH {_EVENT_MINUTES}, {_FACTS}
 SELECT CAST(epoch(ts) AS BIGINT) AS "TimestampPK", ts AS "TimestampStartUtc", {_sql_times("pk")}, d AS "Date",
   {_sql_dates("d").replace('"DatePK"', '"DateUtcFK"')}, wk AS "WeekTimePK", make_timestamp((wk+345600)*1000000) AS "WeekTime",
-  wk/86400.0 AS "WeekTimeDuration", pk/86400.0 AS "DayTimeDuration" FROM weekly""",
+  wk/86400.0 AS "WeekTimeDuration", pk/86400.0 AS "DayTimeDuration", coalesce(events, 0) AS events FROM weekly LEFT JOIN facts ON ts = f""",
 )
 def _(t):
-    return C.expand_to_datetime(C.dates_between(t.events, "ts"), 60)
+    """All minutes of the days of the events, with the events of each."""
+    return _with_events(C.expand_to_datetime(C.dates_between(t.events, "ts"), 60), t, "TimestampStartUtc")
 
 
 @query(
     "b4_time_dimension",
-    f"""WITH {_EVENT_MINUTES}
-SELECT DISTINCT wk AS "WeekTimePK", make_timestamp((wk+345600)*1000000) AS "WeekTime", wk/86400.0 AS "WeekTimeDuration",
-  pk/86400.0 AS "DayTimeDuration", {_sql_times("pk")} FROM weekly, bounds WHERE date_trunc('month', d) = date_trunc('month', lo)""",
+    f"""WITH {_EVENT_MINUTES}, {_FACTS},
+week_facts AS (SELECT CAST((isodow(f)-1)*86400 + epoch(date_trunc('minute', f)) % 86400 AS BIGINT) AS fw, CAST(sum(events) AS BIGINT) AS events FROM facts GROUP BY 1),
+times AS (SELECT DISTINCT wk AS "WeekTimePK", make_timestamp((wk+345600)*1000000) AS "WeekTime", wk/86400.0 AS "WeekTimeDuration",
+  pk/86400.0 AS "DayTimeDuration", {_sql_times("pk")} FROM weekly, bounds WHERE date_trunc('month', d) = date_trunc('month', lo))
+SELECT times.*, coalesce(events, 0) AS events FROM times LEFT JOIN week_facts ON fw = "WeekTimePK" """,
 )
 def _(t):
-    return C.time_dimension(C.dates_between(t.events, "ts"))
+    """The minutes of the week, with the events of all weeks in each."""
+    seconds = F.unix_timestamp(F.date_trunc("minute", F.col("ts").cast("timestamp")))
+    week_time = F.weekday("ts").cast("bigint") * 86400 + seconds % 86400
+    facts = t.events.groupBy(week_time.alias("WeekTimePK")).agg(F.count(F.lit(1)).alias("events"))
+    times = C.time_dimension(C.dates_between(t.events, "ts"))
+    return times.join(facts, "WeekTimePK", "left").withColumn("events", F.coalesce("events", F.lit(0)))
 
 
 @query(
     "b5_minute_mapping",
-    f"""WITH {_EVENT_MINUTES},
-facts AS (SELECT date_trunc('minute', ts) AS f, count(*) AS events FROM {{events}} GROUP BY 1)
+    f"""WITH {_EVENT_MINUTES}, {_FACTS}
 SELECT CAST(strftime(ts, '%Y%m%d') AS INT) AS "DateUtcFK", ts AS "TimestampStartUtc", wk AS "WeekTimePK", coalesce(events, 0) AS events
 FROM weekly LEFT JOIN facts ON ts = f""",
 )
 def _(t):
     """The mapping over the days of the events, with the events of each minute."""
-    facts = t.events.groupBy(
-        F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("TimestampStartUtc")
-    ).agg(F.count(F.lit(1)).alias("events"))
-    mapping = C.minute_mapping(C.dates_between(t.events, "ts"))
-    return mapping.join(facts, "TimestampStartUtc", "left").withColumn(
-        "events", F.coalesce("events", F.lit(0))
-    )
+    return _with_events(C.minute_mapping(C.dates_between(t.events, "ts")), t, "TimestampStartUtc")
 
 
-def _view(t, window=None):
+def _view(t, window=1):
+    """The view with the events of each window."""
     dates = C.dates_between(t.events, "ts")
-    return C.date_minute_view(
-        C.add_date_columns(dates), C.minute_mapping(dates), C.time_dimension(dates), window
+    view = C.date_minute_view(
+        C.add_date_columns(dates),
+        C.minute_mapping(dates),
+        C.time_dimension(dates),
+        None if window == 1 else window,
+    )
+    minute = F.minute("ts")
+    facts = t.events.groupBy(
+        F.to_date("ts").alias("Date"), (F.hour("ts") * 100 + minute - minute % window).alias("TimeMinuteId")
+    ).agg(F.count(F.lit(1)).alias("events"))
+    return view.join(facts, ["Date", "TimeMinuteId"], "left").withColumn(
+        "events", F.coalesce("events", F.lit(0))
     )
 
 
 _VIEW_SQL = f"""WITH {_EVENT_MINUTES}, {_DIMENSION},
 times AS (SELECT DISTINCT wk AS "WeekTimePK", make_timestamp((wk+345600)*1000000) AS "WeekTime", wk/86400.0 AS "WeekTimeDuration",
   pk/86400.0 AS "DayTimeDuration", {_sql_times("pk")} FROM weekly)
-SELECT dim.*, times.* FROM dim JOIN weekly ON d = "Date" JOIN times ON wk = times."WeekTimePK" """
+SELECT dim.*, times.*, coalesce(events, 0) AS events FROM dim JOIN weekly ON d = "Date" JOIN times ON wk = times."WeekTimePK"
+LEFT JOIN (SELECT CAST(ts AS DATE) AS fd, hour(ts)*100 + minute(ts) - minute(ts)%SIZE AS fm, count(*) AS events FROM {{events}} GROUP BY 1, 2) facts
+  ON fd = "Date" AND fm = "TimeMinuteId" """.replace("{{", "{").replace("}}", "}")
 
 
-@query("b6_date_minute_view", _VIEW_SQL)
+@query("b6_date_minute_view", _VIEW_SQL.replace("SIZE", "1"))
 def _(t):
     return _view(t)
 
 
 for _size in C.WINDOWS:
-    query(f"b6_date_{_size}_minute_view", _VIEW_SQL + f'WHERE "IsWindow{_size}MinuteStart"')(
+    query(f"b6_date_{_size}_minute_view", _VIEW_SQL.replace("SIZE", str(_size)) + f'WHERE "IsWindow{_size}MinuteStart"')(
         lambda t, size=_size: _view(t, size)
     )
 

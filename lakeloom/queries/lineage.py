@@ -193,7 +193,7 @@ _COLOUR = """CASE WHEN lower({0}) LIKE '%bronze%' THEN '#cd7f32' WHEN lower({0})
 links AS (SELECT {_ENDS}, count(*) AS value FROM edges
           WHERE source_table_full_name IS NOT NULL AND target_table_full_name IS NOT NULL GROUP BY 1, 2),
 names AS (SELECT source_table_full_name AS name FROM links UNION SELECT target_table_full_name FROM links),
-nodes AS (SELECT name, row_number() OVER (ORDER BY split_part(name, '.', 1) || '.' || split_part(name, '.', 2), name) - 1 AS index FROM names)
+nodes AS (SELECT name, row_number() OVER (ORDER BY md5(name)) - 1 AS index FROM names)
 SELECT {_ENDS}, value, s.index AS source, t.index AS target,
   split_part(source_table_full_name, '.', -1) AS source_label,
   split_part(target_table_full_name, '.', -1) AS target_label,

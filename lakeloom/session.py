@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "lakeloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,6 +53,13 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     The plan of the result is a plain scan with known file sizes, so loops keep short plans, a lost
     executor re-reads files instead of re-running rounds, and Spark's own size limit decides broadcasts.
     """
+    return cut_and_count(df, name)[0]
+
+
+def cut_and_count(df: DataFrame, name: str = "cut") -> tuple[DataFrame, int]:
+    """:func:`cut`, with the number of rows observed while they are written."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    rows = seen.get.get("rows", 0)
+    return df.sparkSession.read.schema(df.schema).parquet(path), rows
