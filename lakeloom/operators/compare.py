@@ -39,14 +39,6 @@ def same_schema(source: DataFrame, target: DataFrame) -> bool:
     return source.dtypes == target.dtypes
 
 
-def _has_map(kind: T.DataType) -> bool:
-    if isinstance(kind, T.MapType):
-        return True
-    if isinstance(kind, T.ArrayType):
-        return _has_map(kind.elementType)
-    return isinstance(kind, T.StructType) and any(_has_map(f.dataType) for f in kind)
-
-
 def _signed_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     """Rows of both sides with ``_n`` = times in the source minus times in the target, where not 0.
 
@@ -55,21 +47,11 @@ def _signed_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     if not same_schema(source, target):
         raise ValueError(f"schemas differ: {source.dtypes} and {target.dtypes}")
     names = source.columns
-    # Maps cannot be grouped; their entries in key order can.
-    comparable = [
-        F.to_json(F.col(f"`{f.name}`"), {"sortKeys": "true"}).alias(f.name)
-        if _has_map(f.dataType)
-        else F.col(f"`{f.name}`")
-        for f in source.schema
-    ]
-    both = source.select(*comparable, F.lit(1).alias("_sign")).union(
-        target.select(*comparable, F.lit(-1).alias("_sign"))
-    )
-    return (
-        both.groupBy(*[F.col(f"`{c}`") for c in names])
-        .agg(F.sum("_sign").alias("_n"))
-        .filter(F.col("_n") != 0)
+    columns = [F.col(f"`{c}`") for c in names]
+    both = source.select(*columns, F.lit(1).alias("_sign")).union(
+        target.select(*columns, F.lit(-1).alias("_sign"))
     )
+    return both.groupBy(*columns).agg(F.sum("_sign").alias("_n")).filter(F.col("_n") != 0)
 
 
 def compare(source: DataFrame, target: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:

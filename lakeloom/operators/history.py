@@ -73,9 +73,17 @@ def scd2(
         F.min(seq).alias("_from"),
         F.max(F.when(F.col("_differs") & ~F.col("_first"), seq)).alias("_changed"),
     )
-    along = Window.partitionBy(*[F.col(f"_group.`{k}`") for k in keys]).orderBy("_group._chunk")
+    key_columns = [f"_k{i}" for i in range(len(keys))]
+    ends = ends.select(
+        "*",
+        *[F.col(f"_group.`{k}`").alias(c) for k, c in zip(keys, key_columns)],
+        F.col("_group._chunk").alias("_chunk"),
+    )
+    along = Window.partitionBy(*key_columns).orderBy("_chunk")
     opened = ends.select(
         "_group",
+        *key_columns,
+        "_chunk",
         "_from",
         "_changed",
         (~F.lag("_tail").over(along).eqNullSafe(F.col("_head"))
@@ -100,7 +108,14 @@ def scd2(
             ),
             F.col("_open_version"),
         ),
-    ).withColumn("_closed", F.coalesce(F.lag("_version").over(local), F.col("_open_version")))
+    ).withColumns(
+        {
+            "_closed": F.coalesce(F.lag("_version").over(local), F.col("_open_version")),
+            "_newest": F.coalesce(F.lead("_starts").over(local), F.lit(True)),
+        }
+    )
+    # Rows inside a version that are neither its first nor its newest one here tell nothing.
+    versioned = versioned.filter(F.col("_starts") | F.col("_newest"))
 
     # Each row belongs to its version; a starting row also tells the version before it its end.
     nothing = F.lit(None)

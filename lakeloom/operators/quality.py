@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Rules = Mapping[str, Column]
+Rules = Mapping[str, Column | str]
 
 
 class Checked(NamedTuple):
@@ -22,8 +22,9 @@ class Checked(NamedTuple):
     metrics: DataFrame
 
 
-def holds(rule: Column) -> Column:
-    return F.coalesce(rule, F.lit(False))
+def holds(rule: Column | str) -> Column:
+    """Whether a rule, a column or SQL text, is true."""
+    return F.coalesce(F.expr(rule) if isinstance(rule, str) else rule, F.lit(False))
 
 
 def all_hold(rules: Rules) -> Column:
