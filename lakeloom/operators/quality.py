@@ -5,11 +5,11 @@ A rule that gives NULL counts as failed.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 Rules = Mapping[str, Column | str]
@@ -31,12 +31,16 @@ def all_hold(rules: Rules) -> Column:
     return reduce(Column.__and__, [holds(r) for r in rules.values()])
 
 
-def metrics(df: DataFrame, rules: Rules) -> DataFrame:
-    """``rule, passed, failed`` for all rules in one pass."""
-    counts = df.agg(
+def _counts(rules: Rules) -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("_all"),
         *[F.count_if(holds(r)).alias(f"_r{i}") for i, r in enumerate(rules.values())],
-    )
+    ]
+
+
+def metrics(df: DataFrame, rules: Rules) -> DataFrame:
+    """``rule, passed, failed`` for all rules in one pass."""
+    counts = df.agg(*_counts(rules))
     entries = [
         F.struct(
             F.lit(name).alias("rule"),
@@ -48,36 +52,62 @@ def metrics(df: DataFrame, rules: Rules) -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
-def expect(df: DataFrame, rules: Rules, action: str = "warn") -> Checked:
-    """``warn`` keeps all rows, ``drop`` removes failing ones, ``fail`` stops the job at the first one.
-
-    Failing happens in the tasks that read the rows: no extra pass, and no row gets through.
-    """
+def _kept(df: DataFrame, rules: Rules, action: str) -> DataFrame:
     if action == "warn":
-        rows = df
-    elif action == "drop":
-        rows = df.filter(all_hold(rules))
-    elif action == "fail":
+        return df
+    if action == "drop":
+        return df.filter(all_hold(rules))
+    if action == "fail":
         broken = F.concat_ws(
             ", ", *[F.when(~holds(r), F.lit(name)) for name, r in rules.items()]
         )
-        rows = df.filter(
+        return df.filter(
             F.when(all_hold(rules), F.lit(True)).otherwise(
                 F.raise_error(F.concat(F.lit("expectation failed: "), broken)).cast("boolean")
             )
         )
-    else:
-        raise ValueError("action is 'warn', 'drop' or 'fail'")
-    return Checked(rows, metrics(df, rules))
+    raise ValueError("action is 'warn', 'drop' or 'fail'")
+
+
+def expect(df: DataFrame, rules: Rules, action: str = "warn") -> Checked:
+    """``warn`` keeps all rows, ``drop`` removes failing ones, ``fail`` stops the job at the first one.
+
+    Failing happens in the tasks that read the rows: no extra pass, and no row gets through.
+    """
+    return Checked(_kept(df, rules, action), metrics(df, rules))
+
+
+class Watched(NamedTuple):
+    """The rows after the rules, and what to ask for the counts once the rows have been used."""
+
+    rows: DataFrame
+    counts: Callable[[], list[tuple[str, int, int]]]
+
+
+def watch(df: DataFrame, rules: Rules, action: str = "warn") -> Watched:
+    """As :func:`expect`, with the counts taken while the rows pass by: a single read does both.
+
+    ``counts()`` gives ``(rule, passed, failed)`` and waits for the first action on the rows.
+    """
+    seen = Observation()
+    rows = _kept(df.observe(seen, *_counts(rules)), rules, action)
+
+    def counts() -> list[tuple[str, int, int]]:
+        found = seen.get
+        total = found.get("_all", 0)
+        passed = [found.get(f"_r{i}", 0) for i in range(len(rules))]
+        return [(name, n, total - n) for name, n in zip(rules, passed)]
+
+    return Watched(rows, counts)
 
 
 def count_check(source: DataFrame, target: DataFrame) -> DataFrame:
     """Both row counts side by side and whether they agree."""
-    a = source.agg(F.count(F.lit(1)).alias("source_count"))
-    b = target.agg(F.count(F.lit(1)).alias("target_count"))
-    return a.crossJoin(b).withColumn(
-        "no_rows_dropped", F.col("source_count") == F.col("target_count")
+    rows = F.count(F.lit(1))
+    counts = source.agg(rows.alias("source_count")).withColumn(
+        "target_count", target.agg(rows).scalar()
     )
+    return counts.withColumn("no_rows_dropped", F.col("source_count") == F.col("target_count"))
 
 
 def missing_records(source: DataFrame, target: DataFrame, key: str) -> DataFrame:

@@ -131,7 +131,7 @@ def daily_snapshots(arriving: DataFrame, days: int, first_day: str) -> DataFrame
     """
     spark = arriving.sparkSession
     steps = F.explode(F.sequence(F.col("step").cast("int"), F.lit(days))).alias("_at")
-    grown = arriving.select(*[c for c in arriving.columns if c != "step"], steps)
+    grown = arriving.filter(F.col("step") <= days).select(*[c for c in arriving.columns if c != "step"], steps)
     scripted = spark.createDataFrame(
         SCRIPTED,
         "primary_key string, name string, surname string, born string, country string, age bigint,"

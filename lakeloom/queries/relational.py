@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.operators import filters, lineage, rows
+from lakeloom.operators import filters, lineage, quality, rows
 from lakeloom.queries.base import query
 from lakeloom.queries.inputs import ALTERED_ORDERS, EDGES
 from lakeloom.queries.lineage import _LATEST
@@ -77,9 +77,7 @@ def _(t):
     "SELECT (SELECT count(*) FROM {documents}) AS source_count, (SELECT count(*) FROM {labels}) AS target_count",
 )
 def _(t):
-    return t.documents.agg(F.count(F.lit(1)).alias("source_count")).crossJoin(
-        t.labels.agg(F.count(F.lit(1)).alias("target_count"))
-    )
+    return quality.count_check(t.documents, t.labels).drop("no_rows_dropped")
 
 
 @query(

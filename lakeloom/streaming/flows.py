@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from lakeloom.functions.times import COMPACT_STAMP, stamp_in
 from lakeloom.operators.history import END, START, scd1, scd2
-from lakeloom.operators.quality import Rules, expect, quarantine
+from lakeloom.operators.quality import Rules, quarantine, watch
 
 
 def file_stream(
@@ -82,17 +82,17 @@ def run_expectations(
 ) -> None:
     """Write the rows that pass and the counts per rule, one folder per batch.
 
-    A batch that runs again after a crash replaces its own folder, so nothing is counted twice.
+    Rows and counts come from one read of the batch. A batch that runs again after a crash replaces
+    its own folder, so nothing is counted twice.
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
-        try:
-            checked = expect(batch, rules, action)
-            checked.rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
-            checked.metrics.write.mode("overwrite").parquet(f"{metrics_path}/batch={number}")
-        finally:
-            batch.unpersist()
+        watched = watch(batch, rules, action)
+        watched.rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        counts = batch.sparkSession.createDataFrame(
+            watched.counts(), "rule string, passed bigint, failed bigint"
+        )
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch={number}")
 
     run_batches(stream, each, checkpoint)
 

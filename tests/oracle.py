@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 import sys
 import time
 import traceback
@@ -28,6 +29,10 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# With STRICT set, floating-point values must agree in all digits.
+STRICT = bool(os.environ.get("STRICT"))
+
+
 def value(x):
     if x is None:
         return None
@@ -38,7 +43,7 @@ def value(x):
     if isinstance(x, float):
         if math.isnan(x):
             return "nan"
-        return float(f"{x:.9g}") + 0.0
+        return x + 0.0 if STRICT else float(f"{x:.9g}") + 0.0
     if isinstance(x, int):
         return x
     if isinstance(x, dt.datetime):
@@ -62,9 +67,11 @@ KINDS = {
 }
 
 
-def check(spark, con, key, folder):
-    """(ok, message) for one query."""
+def check(spark, con, key, folder, inspect=None):
+    """(ok, message) for one query; ``inspect`` sees its frame first."""
     df = QUERIES[key](spark, folder)
+    if inspect is not None:
+        inspect(df)
     rows = [tuple(r) for r in df.collect()]
     cols, got = normal(df.columns, rows)
     if key not in ORACLE:

@@ -49,3 +49,10 @@ def test_quarantine_flag_needs_all_rules(people):
     flagged = Q.quarantine(people, RULES)
     assert [r[0] for r in rows(Q.valid(flagged).select("id"))] == [1]
     assert [r[0] for r in rows(Q.invalid(flagged).select("id"))] == [2, 3, 4]
+
+
+def test_watched_counts_come_with_the_rows(people):
+    for action, kept in (("warn", 4), ("drop", 1)):
+        watched = Q.watch(people, RULES, action)
+        assert len(watched.rows.collect()) == kept
+        assert watched.counts() == [("adult", 2, 2), ("named", 3, 1)]
