@@ -51,7 +51,9 @@ WEEK_COLUMNS = ["WeekTimePK", "WeekTime", "WeekTimeDuration", "DayTimeDuration"]
 def _names(table: Sequence[Sequence[str]], number: Column, prefix: str) -> list[Column]:
     """One column per language, looked up by the 1-based month or weekday number."""
     return [
-        F.element_at(F.array(*[F.lit(row[i]) for row in table]), number).alias(f"{prefix}{language}")
+        F.element_at(F.split(F.lit("|".join(row[i] for row in table)), r"\|"), number).alias(
+            f"{prefix}{language}"
+        )
         for i, language in enumerate(LANGUAGES)
     ]
 
@@ -166,42 +168,59 @@ def add_time_columns(df: DataFrame, key: str = "TimestampPK") -> DataFrame:
     return timed.select("*", *extra)
 
 
-def instants(dates: DataFrame, step: int = 60, partitions: int | None = None) -> DataFrame:
-    """``TimestampPK`` every ``step`` seconds from the first to the last midnight, both included.
+def _days(dates: DataFrame, step: int) -> DataFrame:
+    """One row per day of the range with its first and last instant in epoch seconds.
 
-    So the last day has one row. The days are spread over the cluster first, then every day makes
-    its own instants, so a second-wise range of many years is not built in one task.
+    The grid of instants starts at the first midnight and runs on over all midnights; it ends at the
+    last midnight.
     """
     seconds = F.unix_date(F.col("Date")).cast("bigint") * SECONDS_PER_DAY
-    ends = dates.agg(F.min(seconds).alias("first"), F.max(seconds).alias("last"))
-    days = ends.select(
-        "first", "last", F.explode(F.sequence("first", "last", F.lit(SECONDS_PER_DAY).cast("bigint"))).alias("day")
+    ends = dates.agg(F.min(seconds).alias("_first"), F.max(seconds).alias("_last"))
+    days = F.sequence("_first", "_last", F.lit(SECONDS_PER_DAY).cast("bigint"))
+    day = F.col("_day")
+    return (
+        ends.select("_first", "_last", F.explode(days).alias("_day"))
+        .select(
+            epoch_date(day).alias("Date"),
+            (day + F.pmod(F.col("_first") - day, F.lit(step).cast("bigint"))).alias("_start"),
+            F.least(day + F.lit(SECONDS_PER_DAY - 1).cast("bigint"), F.col("_last")).alias("_stop"),
+        )
+        .filter(F.col("_start") <= F.col("_stop"))
     )
-    count = partitions or int(dates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # First instant of the running grid that lies in the day.
-    start = F.col("day") + F.pmod(F.col("first") - F.col("day"), F.lit(step).cast("bigint"))
-    stop = F.least(F.col("day") + F.lit(SECONDS_PER_DAY - 1).cast("bigint"), F.col("last"))
+
+
+def _spread(days: DataFrame, step: int) -> DataFrame:
+    """The instants of each day, made where the day is: days are spread over the cluster first."""
+    tasks = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    instants_of_day = F.sequence("_start", "_stop", F.lit(step).cast("bigint"))
     return (
-        days.repartition(count, "day")
-        .filter(start <= stop)
-        .select(F.explode(F.sequence(start, stop, F.lit(step).cast("bigint"))).alias("TimestampPK"))
+        days.repartition(tasks, "Date")
+        .select("*", F.explode(instants_of_day).alias("TimestampPK"))
+        .drop("_start", "_stop")
     )
 
 
+def instants(dates: DataFrame, step: int = 60) -> DataFrame:
+    """``TimestampPK`` every ``step`` seconds from the first to the last midnight, both included.
+
+    So the last day has one row.
+    """
+    return _spread(_days(dates, step), step).select("TimestampPK")
+
+
 def expand_to_datetime(dates: DataFrame, step: int = 60) -> DataFrame:
-    """All instants with their time, date and week-time columns."""
-    timed = add_time_columns(instants(dates, step))
-    dated = add_date_columns(timed.withColumn("Date", epoch_date(F.col("TimestampPK"))))
+    """All instants with their time, date and week-time columns.
+
+    Date columns are computed once per day, before the day is expanded to its instants.
+    """
+    dated = _spread(add_date_columns(_days(dates, step)), step)
+    timed = add_time_columns(dated).withColumnRenamed("DatePK", "DateUtcFK")
     week_time = (F.col("DayOfWeekIso") - 1) * SECONDS_PER_DAY + F.col("TimePK")
-    return (
-        dated.withColumnRenamed("DatePK", "DateUtcFK")
-        .withColumn("WeekTimePK", week_time)
-        .select(
-            "*",
-            F.timestamp_seconds(F.col("WeekTimePK") + WEEK_ANCHOR).alias("WeekTime"),
-            (F.col("WeekTimePK") / F.lit(86400.0)).alias("WeekTimeDuration"),
-            (F.col("TimePK") / F.lit(86400.0)).alias("DayTimeDuration"),
-        )
+    return timed.withColumn("WeekTimePK", week_time).select(
+        "*",
+        F.timestamp_seconds(F.col("WeekTimePK") + WEEK_ANCHOR).alias("WeekTime"),
+        (F.col("WeekTimePK") / F.lit(86400.0)).alias("WeekTimeDuration"),
+        (F.col("TimePK") / F.lit(86400.0)).alias("DayTimeDuration"),
     )
 
 

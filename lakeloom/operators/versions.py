@@ -131,19 +131,23 @@ def clustered(df: DataFrame, first: str, second: str, partitions: int, bits: int
     numbered = df.withColumns({"_x": as_number(first), "_y": as_number(second)})
     cuts = [i / 2**bits for i in range(1, 2**bits)]
     # 63 numbers per column reach the driver, whatever the size of the table.
-    quantiles = numbered.stat.approxQuantile(["_x", "_y"], cuts, 0.001)
+    accuracy = 2 ** (bits + 4)
+    quantiles = numbered.agg(
+        F.percentile_approx("_x", cuts, accuracy), F.percentile_approx("_y", cuts, accuracy)
+    ).first()
 
-    def rank(name: str, bounds: list[float]) -> Column:
+    def rank(name: str, bounds: list[float] | None) -> Column:
         """How many bounds the value reaches, by binary search; 0 for NULL."""
-        marks = sorted(set(bounds))
+        marks = sorted(set(bounds or []))
 
-        def search(low: int, high: int) -> Column:
+        def search(low: int, high: int) -> str:
             if low == high:
-                return F.lit(low)
+                return str(low)
             middle = (low + high) // 2
-            return F.when(F.col(name) >= marks[middle], search(middle + 1, high)).otherwise(search(low, middle))
+            above, below = search(middle + 1, high), search(low, middle)
+            return f"CASE WHEN {name} >= {marks[middle]!r}D THEN {above} ELSE {below} END"
 
-        return search(0, len(marks))
+        return F.expr(search(0, len(marks)))
 
     curve = spread_bits(rank("_x", quantiles[0]), bits).bitwiseOR(
         F.shiftleft(spread_bits(rank("_y", quantiles[1]), bits), 1)
