@@ -6,6 +6,8 @@ aggregation, safe for a target that owns a third of the log) before any join loo
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,12 +119,17 @@ def newest_rows_of(edges: DataFrame, target: str, entity_type: str = "PIPELINE")
 
 
 def recursive_lineage(
-    edges: DataFrame, start: str, max_depth: int = 10, day: object | None = None
+    edges: DataFrame,
+    start: str,
+    max_depth: int = 10,
+    day: object | None = None,
+    levels_per_round: int = 3,
 ) -> DataFrame:
-    """All edges upstream of ``start``: one round per level, each table expanded once.
+    """All edges upstream of ``start``, each table expanded at its smallest depth.
 
     ``day`` defaults to the newest date of the whole log. A table at depth ``max_depth`` still has
-    its own edges listed.
+    its own edges listed. A round walks a few levels in one job and writes the tables it finds for the
+    first time; the loop ends when the last level of a round finds none.
     """
     if day is None:
         day = edges.agg(F.max(DAY)).first()[0]
@@ -140,13 +147,26 @@ def recursive_lineage(
     )
     links = direct.select(F.col(SOURCE).alias("_parent"), F.col(TARGET).alias("_node"))
     frontier = edges.sparkSession.createDataFrame([(start,)], "_node string")
-    visited = frontier
-    for _ in range(max_depth):
-        reached = links.join(frontier, "_node").select(F.col("_parent").alias("_node")).distinct()
-        frontier, found = cut_and_count(reached.join(visited, "_node", "left_anti"), "level")
-        if found == 0:
+    visited, depth = frontier, 0
+    while depth < max_depth:
+        reached, last = [], min(depth + levels_per_round, max_depth)
+        step = frontier
+        for level in range(depth + 1, last + 1):
+            step = links.join(step, "_node").select(F.col("_parent").alias("_node")).distinct()
+            reached.append(step.withColumn("_depth", F.lit(level)))
+        # A walk may come back to known tables; a new one has its smallest depth.
+        new = (
+            reduce(DataFrame.union, reached)
+            .groupBy("_node")
+            .agg(F.min("_depth").alias("_depth"))
+            .join(visited, "_node", "left_anti")
+        )
+        at_last = F.col("_depth") == last
+        found, going_on = cut_and_count(new, "levels", at_last)
+        visited = visited.unionByName(found.select("_node"))
+        frontier, depth = found.filter(at_last).select("_node"), last
+        if not going_on:
             break
-        visited = visited.unionByName(frontier)
     return direct.join(visited, direct[TARGET] == visited["_node"], "left_semi")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -58,10 +58,13 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     return cut_and_count(df, name)[0]
 
 
-def cut_and_count(df: DataFrame, name: str = "cut") -> tuple[DataFrame, int]:
-    """:func:`cut`, with the number of rows observed while they are written."""
+def cut_and_count(
+    df: DataFrame, name: str = "cut", where: Column | None = None
+) -> tuple[DataFrame, int]:
+    """:func:`cut`, with the number of rows (``where`` a condition holds) observed on the way."""
     path = scratch(df.sparkSession, name)
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    counted = F.count(F.lit(1)) if where is None else F.count_if(where)
+    df.observe(seen, counted.alias("rows")).write.parquet(path)
     rows = seen.get.get("rows", 0)
     return df.sparkSession.read.schema(df.schema).parquet(path), rows

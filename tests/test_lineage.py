@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 
@@ -59,6 +60,21 @@ def test_recursion_survives_cycles_and_stops_at_the_depth(spark):
     assert len(rows(L.recursive_lineage(edges, "c.s.t0", 2))) == 3
 
 
+@pytest.mark.parametrize("levels", [1, 2, 3, 20])
+def test_rounds_of_any_size_find_the_same(spark, levels):
+    rng = random.Random(11)
+    pairs = {(f"t{rng.randint(0, 40)}", f"t{rng.randint(0, 40)}") for _ in range(55)}
+    edges = log(spark, *pairs)
+    for depth in (0, 1, 2, 4, 9):
+        known, frontier = {"t1"}, {"t1"}
+        for _ in range(depth):
+            frontier = {s for s, t in pairs if t in frontier and s != t} - known
+            known |= frontier
+        expected = sorted((s, t) for s, t in pairs if t in known and s != t)
+        got = L.recursive_lineage(edges, "t1", depth, levels_per_round=levels)
+        assert rows(got.select(L.SOURCE, L.TARGET)) == expected
+
+
 def test_recursion_reads_the_newest_date_of_the_log(spark):
     edges = log(spark, ("c.s.a", "c.s.b", dt.date(2024, 1, 1)), ("c.s.x", "c.s.y"))
     assert rows(L.recursive_lineage(edges, "c.s.b")) == []
