@@ -23,11 +23,13 @@ def serving_usage(usage: DataFrame) -> DataFrame:
 
 
 def deleted_runs(audit: DataFrame, timeline: DataFrame, job_id: object) -> DataFrame:
-    """Who deleted runs of one job, newest first."""
+    """Who deleted runs of one job, newest first, with all columns of the audit rows."""
     runs = timeline.filter(F.col("job_id") == F.lit(job_id)).select("run_id").distinct()
     deletions = audit.filter(
         (F.lower("service_name") == JOB_SERVICE) & (F.col("action_name") == DELETE_ACTION)
-    ).select(F.col("user_identity.email").alias("deleter"), F.col("request_params.run_id").alias("run_id"), "event_time")
+    ).select(
+        F.col("user_identity.email").alias("deleter"), F.col("request_params.run_id").alias("run_id"), "*"
+    )
     return rows_in(deletions, runs, "run_id").orderBy(F.col("event_time").desc(), "run_id")
 
 

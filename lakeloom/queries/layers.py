@@ -341,12 +341,14 @@ def _audit(t):
 
 @query(
     "i2_deleted_runs",
-    """SELECT 'user' || user_id || '@example.com' AS deleter, event_id AS run_id, ts AS event_time FROM {events}
+    """SELECT 'user' || user_id || '@example.com' AS deleter, event_id AS run_id, ts AS event_time, 'jobs' AS service_name, 'deleteRun' AS action_name, user_id % 3 AS workspace_id FROM {events}
        WHERE event_type = 'purchase' AND event_id IN (SELECT o_orderkey FROM {orders} WHERE o_orderstatus = 'F') ORDER BY ts DESC""",
 )
 def _(t):
     timeline = t.orders.select(F.col("o_orderkey").alias("run_id"), F.col("o_orderstatus").alias("job_id"))
-    return oplog.deleted_runs(_audit(t), timeline, "F")
+    return oplog.deleted_runs(_audit(t), timeline, "F").select(
+        "deleter", "run_id", "event_time", "service_name", "action_name", "workspace_id"
+    )
 
 
 @query(

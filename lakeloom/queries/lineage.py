@@ -205,6 +205,22 @@ def _(t):
     return L.flow(t.sql(EDGES))
 
 
+@query(
+    "l9_flow_of_one_table",
+    _CLOSURE.rstrip()
+    + f""",
+links AS (SELECT {_ENDS}, count(*) AS value FROM lineage GROUP BY 1, 2),
+names AS (SELECT source_table_full_name AS name FROM links UNION SELECT target_table_full_name FROM links),
+nodes AS (SELECT name, row_number() OVER (ORDER BY md5(name)) - 1 AS index FROM names)
+SELECT {_ENDS}, value, s.index AS source, t.index AS target,
+  split_part(source_table_full_name, '.', -1) AS source_label,
+  split_part(target_table_full_name, '.', -1) AS target_label, '#a9a9a9' AS source_colour, '#a9a9a9' AS target_colour
+FROM links JOIN nodes s ON s.name = source_table_full_name JOIN nodes t ON t.name = target_table_full_name""",
+)
+def _(t):
+    return L.flow(L.recursive_lineage(t.sql(GRAPH), "c1.l6.t0", 10))
+
+
 @query(
     "l2_stage_counts",
     _LATEST

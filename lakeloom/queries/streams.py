@@ -74,8 +74,8 @@ def _day_folders(t, rows, day, prefix):
 def _(t):
     folder = _day_folders(t, t.events, F.to_date("ts"), "customer_delta_")
     stream = T.file_stream(t.spark, f"{folder}/*", t.events.schema)
-    bronze = T.bronze(stream, _NOW, keep_name=True)
-    return _landed(t, bronze).withColumn("has_name", F.col("file_name").endswith(".parquet")).drop("file_name")
+    has_name = F.col("_metadata.file_name").endswith(".parquet")
+    return _landed(t, T.bronze(stream, _NOW)).withColumn("has_name", has_name).drop("_metadata")
 
 
 @query("t2_stream_of_folders", "SELECT event_id, user_id, value, 'kind=' || event_type AS folder FROM {events}")
@@ -166,4 +166,5 @@ def _(t):
     snapshots = t.sql(SNAPSHOTS)
     rows = snapshots.drop("day")
     folder = _day_folders(t, snapshots, F.col("day"), "customer_snapshot_")
-    return _landed(t, T.bronze(T.file_stream(t.spark, f"{folder}/*", rows.schema), _NOW))
+    stream = T.file_stream(t.spark, f"{folder}/*", rows.schema)
+    return _landed(t, T.bronze(stream, _NOW)).drop("_metadata")

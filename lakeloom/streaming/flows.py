@@ -58,18 +58,15 @@ def run_batches(
 
 
 def bronze(
-    stream: DataFrame, load_time: str, stamp: tuple[str, str] = COMPACT_STAMP, keep_name: bool = False
+    stream: DataFrame, load_time: str, stamp: tuple[str, str] = COMPACT_STAMP
 ) -> DataFrame:
-    """Raw rows with file metadata, the time stamp in the file path, and the load time."""
-    path = F.col("_metadata.file_path")
-    columns = [
+    """Raw rows with the file metadata, the time stamp in the file path, and the load time."""
+    return stream.select(
         "*",
-        stamp_in(path, *stamp).alias("filename_timestamp"),
+        "_metadata",
+        stamp_in(F.col("_metadata.file_path"), *stamp).alias("filename_timestamp"),
         F.lit(load_time).cast("timestamp").alias("load_timestamp"),
-    ]
-    if keep_name:
-        columns.append(F.col("_metadata.file_name").alias("file_name"))
-    return stream.select(*columns)
+    )
 
 
 def with_folder(stream: DataFrame, name: str) -> DataFrame:

@@ -86,9 +86,9 @@ def test_each_folder_keeps_its_own_name(spark):
 def test_bronze_columns(spark):
     source, out = scratch(spark, "in"), scratch(spark, "out")
     land(spark, f"{source}/customer_20250301120000", [("a", 1, "x")])
-    stream = T.bronze(T.file_stream(spark, f"{source}/*", SCHEMA), "2025-04-01 00:00:00", keep_name=True)
+    stream = T.bronze(T.file_stream(spark, f"{source}/*", SCHEMA), "2025-04-01 00:00:00")
     T.run_to_files(stream, f"{out}/data", f"{out}/check")
     row = spark.read.parquet(f"{out}/data").select(
-        F.col("filename_timestamp").cast("string"), F.col("load_timestamp").cast("string"), F.col("file_name").endswith(".parquet")
+        F.col("filename_timestamp").cast("string"), F.col("load_timestamp").cast("string"), F.col("_metadata.file_name").endswith(".parquet")
     ).first()
     assert tuple(row) == ("2025-03-01 12:00:00", "2025-04-01 00:00:00", True)
