@@ -100,36 +100,37 @@ def scd2(
     joined = marked.join(carried, F.col("_group") == F.col("_same"))
 
     starts = F.when(F.col("_first"), F.col("_opens")).otherwise(F.col("_differs"))
-    versioned = joined.withColumn("_starts", starts).withColumn(
-        "_version",
-        F.coalesce(
-            F.last(F.when(F.col("_starts"), seq), ignorenulls=True).over(
-                local.rowsBetween(Window.unboundedPreceding, 0)
-            ),
-            F.col("_open_version"),
-        ),
-    ).withColumns(
-        {
-            "_closed": F.coalesce(F.lag("_version").over(local), F.col("_open_version")),
-            "_newest": F.coalesce(F.lead("_starts").over(local), F.lit(True)),
-        }
+    last_start_here = F.last(F.when(F.col("_starts"), seq), ignorenulls=True).over(
+        local.rowsBetween(Window.unboundedPreceding, 0)
+    )
+    versioned = joined.withColumn("_starts", starts).select(
+        "*",
+        F.coalesce(last_start_here, F.col("_open_version")).alias("_version"),
+        F.lead("_starts").over(local).alias("_before_start"),
+        F.lead(seq).over(local).alias("_following"),
     )
-    # Rows inside a version that are neither its first nor its newest one here tell nothing.
-    versioned = versioned.filter(F.col("_starts") | F.col("_newest"))
 
-    # Each row belongs to its version; a starting row also tells the version before it its end.
-    nothing = F.lit(None)
-    shape = f"struct<v:{kind.simpleString()},s:{kind.simpleString()},e:{kind.simpleString()}>"
+    # The newest row of a version in its chunk speaks for the version; if another row follows in the
+    # chunk, that row starts the next version and so ends this one. A version that ends where a chunk
+    # begins learns it from the chunk's first row.
+    newest_here = F.coalesce(F.col("_before_start"), F.lit(True))
+    closes = F.col("_first") & F.col("_starts") & F.col("_open_version").isNotNull()
     payload = F.struct(*plain)
-    own = F.struct(F.col("_version").alias("v"), seq.alias("s"), nothing.cast(kind).alias("e")).cast(shape)
-    closing = F.struct(F.col("_closed").alias("v"), nothing.cast(kind).alias("s"), seq.alias("e")).cast(shape)
-    notes = F.when(F.col("_starts") & F.col("_closed").isNotNull(), F.array(own, closing)).otherwise(
-        F.array(own)
+    payload_type = rows.select(payload).schema[0].dataType
+    own = F.struct(
+        F.col("_version").alias("v"), seq.alias("s"), F.col("_following").alias("e"), payload.alias("p")
+    )
+    closing = F.struct(
+        F.col("_open_version").alias("v"),
+        F.lit(None).cast(kind).alias("s"),
+        seq.alias("e"),
+        F.lit(None).cast(payload_type).alias("p"),
     )
-    noted = versioned.select(*keys, payload.alias("_payload"), F.explode(notes).alias("_n"))
+    notes = F.array_compact(F.array(F.when(newest_here, own), F.when(closes, closing)))
+    noted = versioned.filter(newest_here | closes).select(*keys, F.explode(notes).alias("_n"))
     return (
         noted.groupBy(*keys, F.col("_n.v").alias(START))
-        .agg(F.max_by("_payload", "_n.s").alias("_payload"), F.max("_n.e").alias(END))
+        .agg(F.max_by("_n.p", "_n.s").alias("_payload"), F.max("_n.e").alias(END))
         .select(*keys, *[F.col(f"_payload.`{c}`").alias(c) for c in plain], START, END)
     )
 

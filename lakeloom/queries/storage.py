@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.functions.text import identifier
 from lakeloom.operators import versions as V
 from lakeloom.queries.base import TABLES, query
 from lakeloom.sinks import tables as K
