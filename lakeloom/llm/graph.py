@@ -62,5 +62,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             followed = labels.join(later, "root", "left")
             labels = followed.select("node", F.coalesce("next", "root").alias("root")).union(step)
             labels = cut(labels, "labels")
-    roots = labels.select(F.col("root").alias("node"), "root").distinct()
-    return labels.union(roots)
+    # A node in the middle of a chain is hooked in more than one round.
+    known = labels.union(labels.select(F.col("root").alias("node"), "root"))
+    return known.groupBy("node").agg(F.min("root").alias("root"))
