@@ -49,6 +49,7 @@ AROUND = ".,;:?\"'()[]{}…«»“”‘’*#%&~^_`<>=/\\-–—"
 COST_ALIKE, COST_DROP, COST_SIGN, COST_RUN, COST_GAP, COST_BREAK = 1.5, 4.0, 6.0, 0.5, 1.0, 2.0
 
 _RUN = re.compile(r"(\w)\1\1")
+_SAME = re.compile(r"(.)\1*", re.S)
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 
 
@@ -106,44 +107,68 @@ def character_costs(docs: DataFrame, text: str = "text") -> np.ndarray:
 # --- lattice ---------------------------------------------------------------------------------------------
 
 
+def run_length(line: str, at: int) -> int:
+    """How often the sign at ``at`` is repeated from there on."""
+    match = _SAME.match(line, at)
+    return match.end() - at if match else 1
+
+
 def arcs(line: str, at: int) -> list[tuple[int, str, float]]:
-    """(characters read, characters written, channel cost) of every reading of ``line`` at ``at``.
+    """(characters read, characters written, channel cost) of every reading of the run of equal signs at ``at``.
 
     A space written ends a word.
     """
-    c = line[at]
-    run = 1
-    while at + run < len(line) and line[at + run] == c:
-        run += 1
+    c, run = line[at], run_length(line, at)
     if c in " \t":
         return [(1, "", COST_GAP / 2), (1, " ", 0.0)]
     if c in CODE:
-        found = [(1, c, 0.0)]
-        if run >= 3:
-            found += [(run, c, COST_RUN), (run, c + c, COST_RUN)]
-        return found
+        plain = [(run, c * run, 0.0)]
+        return plain if run < 3 else [*plain, (run, c, COST_RUN), (run, c + c, COST_RUN)]
     if c in ALIKE:
-        found = [(1, letter, COST_ALIKE) for letter in ALIKE[c]]
+        found = [(run, letter * run, COST_ALIKE * run) for letter in ALIKE[c]]
         if run >= 2:
             found += [(run, letter, COST_ALIKE + COST_RUN) for letter in ALIKE[c]]
-        found.append((1, "\0", COST_SIGN) if c.isdigit() else (run, "", COST_DROP))
+        found.append((run, "\0" * run, COST_SIGN * run) if c.isdigit() else (run, "", COST_DROP))
         return found
     if c in GAPS or not c.isalnum():
         return [(run, "", COST_GAP), (run, " ", COST_BREAK)]
-    return [(1, "\0", 0.0)]
+    return [(run, "\0" * run, 0.0)]
 
 
 def decode(line: str, costs) -> str:
-    """The cheapest reading of a lower-case line; signs that are no letters of the alphabet become ``\\0``."""
-    # layers[i]: (before last, last) -> (cost, previous layer, previous state, written)
-    layers: list[dict] = [{} for _ in range(len(line) + 1)]
-    layers[0][EDGE, EDGE] = (0.0, 0, None, "")
-    for i in range(len(line)):
-        if not layers[i]:
+    """The cheapest reading of a lower-case line; signs that are no letters of the alphabet become ``\\0``.
+
+    Where all open paths share one state their common part is settled and forgotten, so memory grows with the
+    ambiguous stretches of a line and time with its length.
+    """
+    # Place -> state -> (cost, place before, state before, written); a state is the last two codes.
+    layers: dict[int, dict] = {0: {(EDGE, EDGE): (0.0, -1, None, "")}}
+    done: list[str] = []
+    open_places = {0}
+
+    def settle(place: int, state) -> None:
+        path = []
+        while layers[place][state][1] >= 0:
+            _, before, previous, written = layers[place][state]
+            path.append(written)
+            place, state = before, previous
+        done.extend(reversed(path))
+
+    at = 0
+    while at < len(line):
+        states = layers.get(at)
+        if states is None:
+            at += 1
             continue
-        readings = arcs(line, i)
-        for state, (cost, *_) in layers[i].items():
-            for read, written, channel in readings:
+        if len(states) == 1 and len(open_places) == 1 and len(layers) > 64:
+            state = next(iter(states))
+            settle(at, state)
+            layers = {at: {state: (states[state][0], -1, None, "")}}
+            states = layers[at]
+        found = arcs(line, at)
+        open_places.discard(at)
+        for state, (cost, *_) in states.items():
+            for read, written, channel in found:
                 a, b = state
                 total = cost + channel
                 for w in written:
@@ -156,17 +181,15 @@ def decode(line: str, costs) -> str:
                         code = CODE.get(w, OTHER)
                         total += costs[(a * SIZE + b) * SIZE + code]
                         a, b = b, code
-                known = layers[i + read].get((a, b))
+                layer = layers.setdefault(at + read, {})
+                open_places.add(at + read)
+                known = layer.get((a, b))
                 if known is None or total < known[0]:
-                    layers[i + read][a, b] = (total, i, state, written)
-    end = {s: v[0] + (costs[(s[0] * SIZE + s[1]) * SIZE + EDGE] if s[1] != EDGE else 0) for s, v in layers[-1].items()}
-    at, state = len(line), min(end, key=lambda s: (end[s], s))
-    out = []
-    while at:
-        _, before, previous, written = layers[at][state]
-        out.append(written)
-        at, state = before, previous
-    return "".join(reversed(out))
+                    layer[a, b] = (total, at, state, written)
+        at += found[0][0]
+    end = {s: v[0] + (costs[(s[0] * SIZE + s[1]) * SIZE + EDGE] if s[1] != EDGE else 0) for s, v in layers[len(line)].items()}
+    settle(len(line), min(end, key=lambda s: (end[s], s)))
+    return "".join(done)
 
 
 def readings(token: str, costs) -> tuple[str, ...]:
