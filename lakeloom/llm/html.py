@@ -190,11 +190,12 @@ def select(blocks: list[Block]) -> list[Block]:
             region, inside = outer, np.array([outer in b.home for b in blocks])
     if region not in frames:
         first, last = np.flatnonzero(inside)[[0, -1]]
-        while first > 0 and high[first - 1]:
+        prose = high & np.array([2 * b.linked <= len(b.text) for b in blocks])
+        while first > 0 and prose[first - 1]:
             first -= 1
-        while last + 1 < len(blocks) and high[last + 1]:
+        while last + 1 < len(blocks) and prose[last + 1]:
             last += 1
-        inside[first : last + 1] |= high[first : last + 1]
+        inside[first : last + 1] |= prose[first : last + 1]
     return [b for b, stays, dense in zip(blocks, inside, high) if stays and (dense or 2 * b.linked <= len(b.text))]
 
 

@@ -22,6 +22,8 @@ from lakeloom.llm.tasks import Batches, map_batches, only, worker_store
 TEXT = 1_000_000
 # Words whose ids a worker remembers before it starts anew.
 KNOWN = 600_000
+# Words of more characters are relaxed place by place; shorter ones all together, by distance from their start.
+LONG = 400
 SPACE = "▁"
 
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -108,6 +110,7 @@ class Matcher:
         self.stranger = vocabulary.size
         self.rank = np.append(vocabulary.rank, -1)
         self.left, self.right = np.append(vocabulary.left, self.stranger), np.append(vocabulary.right, self.stranger)
+        self.pairs: dict[int, int] | None = None
         # Pairs that merge, in an open hash table of a power of two with few collisions.
         self.bits = max(4, int(np.ceil(np.log2(4 * len(vocabulary.pair_keys) + 4))))
         self.slots = np.full(1 << self.bits, -1, np.int64)
@@ -224,6 +227,10 @@ class Matcher:
         by = np.argsort((depth * (len(line) + 1) + start + span) * 32 + (31 - span), kind="stable")
         start, token, span, depth = start[by], token[by], span[by], depth[by]
         last, back = np.full(len(line) + 1, -1, np.int64), np.zeros(len(line) + 1, np.int64)
+        long = np.repeat(sizes > LONG, sizes + 1)[: len(line)][start]
+        if long.any():
+            self._relax_long(start[long], token[long], span[long], origin, last, back)
+            start, token, span, depth = start[~long], token[~long], span[~long], depth[~long]
         cuts = np.flatnonzero(np.diff(depth, prepend=-1, append=-1))
         for a, b in zip(cuts, cuts[1:]):
             self._relax(start[a:b], token[a:b], span[a:b], origin, last, back)
@@ -244,28 +251,57 @@ class Matcher:
             rest = ~lead & (last[end] < 0)
             start, token, end = start[rest], token[rest], end[rest]
 
+    def _relax_long(self, start, token, span, origin, last, back) -> None:
+        """The same for few long words: edges by their end, the longest first, one by one."""
+        by = np.argsort((start + span) * 32 + (31 - span), kind="stable")
+        at_start = (origin[start] == start)[by].tolist()
+        start, token, span = start[by].tolist(), token[by].tolist(), span[by].tolist()
+        known: dict[tuple[int, int], bool] = {}
+        final: dict[int, int] = {}
+        for s, t, n, first in zip(start, token, span, at_start):
+            e = s + n
+            if e in final:
+                continue
+            if not first:
+                pair = (final[s], t)
+                if pair not in known:
+                    known[pair] = self.stays(*pair)
+                if not known[pair]:
+                    continue
+            final[e], last[e], back[e] = t, t, s
+
+    def stays(self, l: int, r: int) -> bool:
+        """:meth:`apart` of one pair."""
+        if self.pairs is None:
+            self.pairs = dict(zip(self.v.pair_keys.tolist(), self.v.pair_ranks.tolist()))
+            self.rows = self.rank.tolist(), self.left.tolist(), self.right.tolist()
+        rank, left, right = self.rows
+        size, limit = self.v.size, int(_NEVER)
+        while True:
+            if l < size and r < size and self.pairs.get(l * size + r, limit) < limit:
+                return False
+            a, b = rank[l], rank[r]
+            if a < 0 and b < 0:
+                return True
+            if a > b:
+                limit, l = a, right[l]
+            else:
+                limit, r = b + 1, left[r]
+
     def _trace(self, words, line, begin, sizes, last, back) -> list[np.ndarray]:
-        places, which = (begin + sizes).copy(), np.arange(len(words))
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        while len(which):
-            go = places > begin[which]
-            places, which = places[go], which[go]
-            found.append((which, last[places], back[places]))
-            places = back[places]
-        which, token, place = (np.concatenate(x) for x in zip(*found))
-        by = np.argsort(which, kind="stable")
-        which, token, place = which[by], token[by], place[by]
-        ends = np.searchsorted(which, np.arange(len(words) + 1))
-        alien = np.flatnonzero(token == self.stranger)
-        spelled = {int(k): np.frombuffer(chr(line[place[k]]).encode("utf-8", "surrogatepass"), np.uint8)[::-1] for k in alien}
+        """The pieces from the end of each word back to its start."""
+        tail, way = last.tolist(), back.tolist()
         out = []
-        strange = np.zeros(len(words), bool)
-        strange[which[alien]] = True
-        for k in range(len(words)):
-            ids = token[ends[k] : ends[k + 1]]
-            if strange[k]:
-                ids = np.concatenate([spelled[i].astype(np.int64) + self.v.first_byte if i in spelled else token[i : i + 1] for i in range(ends[k], ends[k + 1])])
-            out.append(ids[::-1])
+        for first, size in zip(begin.tolist(), sizes.tolist()):
+            ids, at = [], first + size
+            while at > first:
+                token = tail[at]
+                if token == self.stranger:
+                    ids += [b + self.v.first_byte for b in reversed(chr(line[at - 1]).encode("utf-8", "surrogatepass"))]
+                else:
+                    ids.append(token)
+                at = way[at]
+            out.append(np.array(ids[::-1], np.int64))
         return out
 
 
