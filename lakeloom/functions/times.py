@@ -25,9 +25,9 @@ def day_seconds(seconds: Column) -> Column:
 
 
 def stamp_in(name: Column, digits: str, fmt: str) -> Column:
-    """Timestamp written in a file name or path; NULL where the pattern does not occur."""
+    """Timestamp written in a file name or path; NULL where the pattern does not occur or gives no date."""
     found = F.regexp_extract(name, digits, 1)
-    return F.to_timestamp(F.when(found != "", found), fmt)
+    return F.try_to_timestamp(F.when(found != "", found), F.lit(fmt))
 
 
 # Time stamps in file names, as pattern and format.

@@ -51,9 +51,7 @@ WEEK_COLUMNS = ["WeekTimePK", "WeekTime", "WeekTimeDuration", "DayTimeDuration"]
 def _names(table: Sequence[Sequence[str]], number: Column, prefix: str) -> list[Column]:
     """One column per language, looked up by the 1-based month or weekday number."""
     return [
-        F.element_at(F.split(F.lit("|".join(row[i] for row in table)), r"\|"), number).alias(
-            f"{prefix}{language}"
-        )
+        F.element_at(F.array(*[F.lit(row[i]) for row in table]), number).alias(f"{prefix}{language}")
         for i, language in enumerate(LANGUAGES)
     ]
 
@@ -253,12 +251,12 @@ def date_minute_view(
 ) -> DataFrame:
     """Dates with all their minutes; ``window`` keeps the starts of windows of that many minutes.
 
-    The minute-of-week table is broadcast: it has one row per minute of a week, 10,080 at most.
+    Whether the minute-of-week table is broadcast is left to its size.
     """
     if window is not None:
         times = times.filter(F.col(f"IsWindow{window}MinuteStart"))
     view = dates.join(mapping, dates["DatePK"] == mapping["DateUtcFK"], "left").join(
-        F.broadcast(times.select(*WEEK_COLUMNS, *TIME_COLUMNS)),
+        times.select(*WEEK_COLUMNS, *TIME_COLUMNS),
         "WeekTimePK",
         "left" if window is None else "inner",
     )

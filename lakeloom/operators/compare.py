@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.operators.filters import without_audit_columns
-from lakeloom.operators.rows import running_offset
+from lakeloom.operators.rows import as_number, copies, running_offset
 
 # Relative and absolute tolerance for floating-point columns.
 RTOL, ATOL = 1e-5, 1e-8
@@ -39,7 +39,7 @@ def same_schema(source: DataFrame, target: DataFrame) -> bool:
     return source.dtypes == target.dtypes
 
 
-def _signed_counts(source: DataFrame, target: DataFrame) -> DataFrame:
+def signed_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     """Rows of both sides with ``_n`` = times in the source minus times in the target, where not 0.
 
     One shuffle for both directions; equal rows cancel out inside every task first.
@@ -58,7 +58,7 @@ def compare(source: DataFrame, target: DataFrame, exclude: Sequence[str] = ()) -
     """The rows one side has more often, with ``side`` and ``surplus``; empty when the sides are equal."""
     a, b = without_audit_columns(source, exclude), without_audit_columns(target, exclude)
     return (
-        _signed_counts(a, b)
+        signed_counts(a, b)
         .withColumn("side", F.when(F.col("_n") > 0, "source").otherwise("target"))
         .withColumn("surplus", F.abs("_n"))
         .drop("_n")
@@ -71,6 +71,17 @@ def _close(a: Column, b: Column, rtol: float, atol: float) -> Column:
     return F.coalesce(a.eqNullSafe(b) | near, F.lit(False))
 
 
+def _piece(df: DataFrame, name: str) -> Column:
+    """A coarse, order-keeping piece of a column; rows that differ much fall into different pieces."""
+    kind, column = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, T.StringType):
+        return F.substring(column, 1, 2)
+    if isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        number = as_number(df, name)
+        return F.floor(F.signum(number) * F.log2(F.lit(1) + F.abs(number)) * 64)
+    return F.lit(0)
+
+
 def compare_keyed(
     source: DataFrame,
     target: DataFrame,
@@ -91,20 +102,15 @@ def compare_keyed(
     if not keys:
         raise ValueError("no key: all columns are floating-point")
     values = [c for c in a.columns if c not in keys]
-    left_over = _signed_counts(a, b)
+    left_over = signed_counts(a, b)
     distinct_rows = left_over.withColumn("_source", F.col("_n") > 0).withColumn("_n", F.abs("_n"))
-    # An order-keeping piece of the first float column, so rows of one key are numbered in pieces.
-    first = next((c for c in values if c in floats), None)
-    piece = (
-        F.floor(F.signum(first) * F.log2(F.lit(1) + F.abs(F.col(first))) * 64) if first else F.lit(0)
-    )
-    pieces = distinct_rows.withColumn("_piece", piece)
+    # An order-keeping piece of the first value column, so rows of one key are numbered in pieces.
+    first = next((c for c in values if c in floats), values[0] if values else None)
+    pieces = distinct_rows.withColumn("_piece", _piece(a, first) if first else F.lit(0))
     order = ([first] if first else []) + [c for c in values if c != first] or keys
     placed = running_offset(pieces, "_piece", order, F.col("_n"), "_place", ["_source", *keys])
     # Copies of a row take the places from its offset on.
-    numbered = placed.withColumn(
-        "_number", F.explode(F.sequence(F.col("_place") + 1, F.col("_place") + F.col("_n")))
-    )
+    numbered = copies(placed, "_n", "_copy").withColumn("_number", F.col("_place") + F.col("_copy") + 1)
 
     def side(is_source: bool, mark: str) -> DataFrame:
         return numbered.filter(F.col("_source") == is_source).select(

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lakeloom.operators.rows import equals_global_max, newest
+from lakeloom.operators.rows import as_number, equals_global_max, newest, rank_among
 from lakeloom.session import cut
 
 START, END = "__START_AT", "__END_AT"
@@ -21,17 +21,22 @@ def scd1(
     return newest(rows, keys, [F.col(c).desc() for c in (sequence_by, *ties)])
 
 
-def default_chunk(rows: DataFrame, sequence_by: str) -> Column:
-    """Coarse, order-keeping piece of the sequence: hours of a timestamp, months of a date."""
-    kind = rows.schema[sequence_by].dataType
-    c = F.col(sequence_by)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("hour", c)
-    if isinstance(kind, T.DateType):
-        return F.trunc(c, "month")
-    if isinstance(kind, T.IntegralType):
-        return F.floor(c / 100_000)
-    raise ValueError(f"give a chunk for a sequence of type {kind.simpleString()}")
+# Pieces that a sequence is cut into by default.
+PIECES = 128
+
+
+def default_chunk(rows: DataFrame, sequence_by: str, pieces: int = PIECES) -> Column:
+    """Order-keeping piece of the sequence, with about as many rows in each: the place among approximate quantiles.
+
+    The widths come from the data, so neither dense nor sparse sequences make one huge or very many pieces.
+    """
+    cuts = [i / pieces for i in range(1, pieces)]
+    bounds = rows.agg(F.percentile_approx(as_number(rows, sequence_by), cuts, 16 * pieces)).first()[0]
+    return rank_among("_sequence", bounds)
+
+
+def _refused(why: str) -> Column:
+    return F.raise_error(F.lit(why)).cast("boolean")
 
 
 def scd2(
@@ -40,30 +45,40 @@ def scd2(
     sequence_by: str,
     track_except: Sequence[str] = (),
     chunk: Column | None = None,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Versions of each key: a new one starts where a tracked column changes.
 
     A version ends where the next one starts; absence does not close it. Columns that are not
-    tracked hold the newest value of the version. (key, sequence) pairs must be unique.
+    tracked hold the newest value of the version. Of rows with equal key and sequence the one with the largest
+    ``ties`` counts; without ``ties`` such rows fail the job.
 
-    No task sees all rows of a key. Changes are found inside (key, chunk) groups; one row per group
+    A key's rows are worked on in pieces, by default one of 128 with about equally many rows of the table. Changes are found inside (key, chunk) groups; one row per group
     then tells each chunk how the one before it ended; versions are put together by an aggregation
     that works inside every task first. ``chunk`` must not decrease along the sequence.
     """
     keys = list(keys)
+    if ties:
+        rows = newest(rows, [*keys, sequence_by], [F.col(c).desc() for c in ties])
     plain = [c for c in rows.columns if c not in keys and c != sequence_by]
     tracked = [c for c in plain if c not in track_except] or [sequence_by]
     seq = F.col(sequence_by)
     kind = rows.schema[sequence_by].dataType
     state = F.struct(*tracked)
-    chunked = rows.withColumn("_chunk", chunk if chunk is not None else default_chunk(rows, sequence_by))
+    if chunk is None:
+        piece = default_chunk(rows, sequence_by)
+        chunked = rows.withColumn("_sequence", as_number(rows, sequence_by)).withColumn("_chunk", piece).drop("_sequence")
+    else:
+        chunked = rows.withColumn("_chunk", chunk)
     # One struct as key: NULL parts match, and windows, aggregation and join share one partitioning.
     chunked = chunked.withColumn("_group", F.struct(*keys, "_chunk")).drop("_chunk")
     local = Window.partitionBy("_group").orderBy(seq)
     marked = chunked.select(
         "*",
         F.lag(F.lit(True)).over(local).isNull().alias("_first"),
-        (~F.lag(state).over(local).eqNullSafe(state)).alias("_differs"),
+        F.when(F.lag(seq).over(local) == seq, _refused("a key has two rows with one sequence value"))
+        .otherwise(~F.lag(state).over(local).eqNullSafe(state))
+        .alias("_differs"),
     )
 
     # One row per (key, chunk): how it begins, how it ends, where its last change is.
@@ -173,7 +188,7 @@ def scd2_from_snapshots(
     """History from full snapshots: absence closes a version at the first snapshot without the key.
 
     A key that comes back opens a new version. A key has one row per snapshot, so a key's group is
-    no longer than the list of snapshots.
+    no longer than the list of snapshots; a key twice in a snapshot fails the job.
     """
     keys = list(keys)
     plain = [c for c in snapshots.columns if c not in keys and c != version]
@@ -191,7 +206,9 @@ def scd2_from_snapshots(
         "snapshots",
     )
     by_key = Window.partitionBy(*keys).orderBy(version)
-    starts = (
+    starts = F.when(
+        F.lag(version).over(by_key) == F.col(version), _refused("a snapshot holds a key twice")
+    ).otherwise(
         F.lag(version).over(by_key).isNull()
         | (F.lag(version).over(by_key) != F.col("_before"))
         | ~F.lag(state).over(by_key).eqNullSafe(state)
@@ -219,6 +236,43 @@ def scd2_from_snapshots(
     )
 
 
+def snapshot_step(
+    history: DataFrame, snapshot: DataFrame, keys: Sequence[str], version: object, track_except: Sequence[str] = ()
+) -> DataFrame:
+    """The history after one more full snapshot, equal to :func:`scd2_from_snapshots` over all of them.
+
+    ``history`` holds everything up to the snapshot before; ``snapshot`` has its columns without the version. Open
+    rows whose key is gone or whose tracked columns changed end at ``version``; unchanged ones stay open and take the
+    untracked columns of the snapshot; new and changed keys open rows. A key twice in the snapshot fails.
+    """
+    keys = list(keys)
+    twice = snapshot.groupBy(*keys).count().filter("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"a snapshot holds a key twice: {twice[0].asDict()}")
+    plain = [c for c in history.columns if c not in (*keys, START, END)]
+    tracked = [c for c in plain if c not in track_except]
+    now = F.lit(version).cast(history.schema[START].dataType)
+    fresh = snapshot.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], F.struct(*plain).alias("_new"))
+    same_key = reduce(Column.__and__, [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    met = history.filter(F.col(END).isNull()).join(fresh, same_key, "left")
+    state = lambda at: F.struct(*[F.col(f"{at}`{c}`") for c in tracked]) if tracked else F.struct(F.lit(1))
+    stays = F.col("_new").isNotNull() & state("").eqNullSafe(state("_new."))
+    met = met.withColumn("_stays", stays)
+    carried = met.select(
+        *keys,
+        *[F.when(F.col("_stays"), F.col(f"_new.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in plain],
+        START,
+        F.when(~F.col("_stays"), now).alias(END),
+    )
+    held = met.filter("_stays").select(*[F.col(f"`{k}`").alias(f"_h{i}") for i, k in enumerate(keys)])
+    known = reduce(Column.__and__, [F.col(f"_k{i}").eqNullSafe(F.col(f"_h{i}")) for i in range(len(keys))])
+    opened = fresh.join(held, known, "left_anti").select(
+        *[F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)], "_new.*", now.alias(START), F.lit(None).cast(history.schema[END].dataType).alias(END)
+    )
+    columns = history.columns
+    return history.filter(F.col(END).isNotNull()).select(*columns).union(carried.select(*columns)).union(opened.select(*columns))
+
+
 def _open_rows(history: DataFrame) -> DataFrame:
     return history.filter(F.col(END).isNull())
 

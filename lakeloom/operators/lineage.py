@@ -41,7 +41,7 @@ def latest_edges(
     if prefix is not None:
         edges = edges.filter(F.col(TARGET).startswith(prefix))
     # Both sides of the join below, and all stages above, read these reduced rows.
-    newest_per_edge = edges.groupBy(*ends).agg(F.max(DAY).alias(DAY)).persist()
+    newest_per_edge = edges.groupBy(*ends).agg(F.max(DAY).alias(DAY))
     newest_per_target = newest_per_edge.groupBy(TARGET).agg(F.max(DAY).alias(DAY))
     usable = F.col(SOURCE) != F.col(TARGET)
     if by_column:

@@ -28,9 +28,7 @@ def running_id(
     start: int = 1,
     within: Sequence[str] = (),
 ) -> DataFrame:
-    """Number the rows without a gap, by ``bucket`` and then ``order``, anew in each ``within`` group.
-
-    """
+    """Number the rows without a gap, by ``bucket`` and then ``order``, anew in each ``within`` group."""
     first = running_offset(df, bucket, order, F.lit(1), name, within)
     return first.withColumn(name, F.col(name) + F.lit(start))
 
@@ -72,6 +70,42 @@ def running_offset(
     )
 
 
+def copies(df: DataFrame, count: str, name: str, run: int = 1 << 16) -> DataFrame:
+    """Each row as often as ``count`` says, numbered from 0 in ``name``; no array is longer than ``run`` or the
+    number of runs."""
+    n = F.col(f"`{count}`")
+    runs = df.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / run))))
+    size = F.least(F.lit(run).cast("bigint"), n - F.col("_run") * run)
+    each = runs.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("bigint"), size - 1)))
+    return each.withColumn(name, F.col("_run") * run + F.col("_at")).drop("_run", "_at")
+
+
+def as_number(df: DataFrame, name: str) -> Column:
+    """An order-keeping double of a date, timestamp, number or boolean."""
+    kind, column = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(column.cast("timestamp")).cast("double")
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return column.cast("double")
+    raise ValueError(f"no number keeps the order of a {kind.simpleString()}")
+
+
+def rank_among(name: str, bounds: Sequence[float] | None) -> Column:
+    """How many of the bounds the value of a column reaches, by binary search; 0 for NULL."""
+    marks = sorted(set(bounds or []))
+
+    def search(low: int, high: int) -> str:
+        if low == high:
+            return str(low)
+        middle = (low + high) // 2
+        above, below = search(middle + 1, high), search(low, middle)
+        return f"CASE WHEN {name} >= {marks[middle]!r}D THEN {above} ELSE {below} END"
+
+    return F.expr(search(0, len(marks)))
+
+
 def union_all_by_name(frames: Sequence[DataFrame], empty: DataFrame | None = None) -> DataFrame:
     """Union by name, missing columns NULL; ``empty`` gives the schema when the list is empty."""
     if not frames:

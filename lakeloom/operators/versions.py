@@ -11,8 +11,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeloom.operators.rows import with_columns_of
+from lakeloom.operators.compare import signed_counts
+from lakeloom.operators.rows import as_number, copies, rank_among, running_offset, with_columns_of
+from lakeloom.session import cut
 from lakeloom.sources.files import file_listing
 
 LOG_SCHEMA = "version int, committed_at timestamp, operation string, row_count bigint"
@@ -57,43 +60,63 @@ def _unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
         raise ValueError(f"{what} holds a key more than once: {twice[0].asDict()}")
 
 
+def _known(keys: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(f"`{k}`").isNotNull() for k in keys])
+
+
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Update all columns of matched rows, insert the others; source keys must be unique.
 
-    Each source row meets at most its target rows, so the full outer join cannot grow a hot key.
+    Rows with a NULL in their key never match and take no part in a join. Target rows look up their one source
+    row in a left join, whose frequent keys can be split; source rows without a target are found against the
+    distinct target keys.
     """
     keys = list(keys)
     _unique(source, keys, "the merge source")
-    t = target.select(F.struct(*target.columns).alias("_old"), *[F.col(k).alias(f"_t{i}") for i, k in enumerate(keys)])
-    s = with_columns_of(source, target.schema).select(
-        F.struct(*target.columns).alias("_new"), *[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)]
-    )
-    on = reduce(Column.__and__, [F.col(f"_t{i}") == F.col(f"_s{i}") for i in range(len(keys))])
-    row = F.when(F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col("_old"))
-    return t.join(s, on, "full_outer").select(row.alias("_row")).select("_row.*")
+    known = _known(keys)
+    rows = with_columns_of(source, target.schema)
+    new = rows.filter(known).select(F.struct(*target.columns).alias("_new"), *[F.col(f"`{k}`").alias(f"_s{i}") for i, k in enumerate(keys)])
+    on = reduce(Column.__and__, [F.col(f"`{k}`") == F.col(f"_s{i}") for i, k in enumerate(keys)])
+    old = F.struct(*target.columns)
+    kept = target.filter(known).join(new, on, "left").select(F.coalesce("_new", old).alias("_row")).select("_row.*")
+    held = target.filter(known).select(*[F.col(f"`{k}`").alias(f"_s{i}") for i, k in enumerate(keys)]).distinct()
+    added = rows.filter(known).join(held, on, "left_anti")
+    return kept.union(added).union(target.filter(~known)).union(rows.filter(~known))
 
 
 def change_rows(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Changes between two states with unique keys: insert, delete, update_preimage, update_postimage."""
-    columns = before.columns
-    old = before.select(F.struct(*columns).alias("_old"), *[F.col(k).alias(f"_a{i}") for i, k in enumerate(keys)])
-    new = with_columns_of(after, before.schema).select(
-        F.struct(*columns).alias("_new"), *[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)]
-    )
-    on = reduce(Column.__and__, [F.col(f"_a{i}").eqNullSafe(F.col(f"_b{i}")) for i in range(len(keys))])
+    """Changes between two states: insert, delete, update_preimage, update_postimage.
+
+    Equal rows of both states cancel first, however often they occur; what is left of a key must be one row per
+    state at most, else the job fails. Rows with a NULL in their key have no identity: they are inserted or
+    deleted, never updated.
+    """
+    left = signed_counts(with_columns_of(after, before.schema), before).withColumn("_times", F.abs("_n"))
+    columns = [F.col(f"`{c}`") for c in before.columns]
 
     def note(kind: str, row: str) -> Column:
         return F.struct(F.lit(kind).alias("kind"), F.col(row).alias("row"))
 
+    known = _known(keys)
+    kind = F.when(F.col("_n") > 0, "insert").otherwise("delete")
+    free = copies(left.filter(~known).withColumn(CHANGE, kind), "_times", "_copy").select(*columns, CHANGE)
+    row = F.struct(*columns)
+    paired = left.filter(known).groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.first(F.when(F.col("_n") < 0, row), ignorenulls=True).alias("_old"),
+        F.first(F.when(F.col("_n") > 0, row), ignorenulls=True).alias("_new"),
+        F.sum(F.when(F.col("_n") < 0, F.col("_times"))).alias("_olds"),
+        F.sum(F.when(F.col("_n") > 0, F.col("_times"))).alias("_news"),
+    )
+    twice = (F.coalesce("_olds", F.lit(0)) > 1) | (F.coalesce("_news", F.lit(0)) > 1)
+    refused = F.raise_error(F.lit("a state holds a key more than once, with different rows"))
     notes = (
-        F.when(F.col("_old").isNull(), F.array(note("insert", "_new")))
+        F.when(twice, F.array(F.struct(refused.cast("string").alias("kind"), F.col("_new").alias("row"))))
+        .when(F.col("_old").isNull(), F.array(note("insert", "_new")))
         .when(F.col("_new").isNull(), F.array(note("delete", "_old")))
         .otherwise(F.array(note("update_preimage", "_old"), note("update_postimage", "_new")))
     )
-    changed = old.join(new, on, "full_outer").filter(~F.col("_old").eqNullSafe(F.col("_new")))
-    return changed.select(F.explode(notes).alias("_n")).select(
-        "_n.row.*", F.col("_n.kind").alias(CHANGE)
-    )
+    noted = paired.select(F.explode(notes).alias("_n")).select("_n.row.*", F.col("_n.kind").alias(CHANGE))
+    return noted.union(free)
 
 
 def apply_changes(df: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -111,49 +134,40 @@ def spread_bits(value: Column, bits: int) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), pieces)
 
 
+def _text_ranks(df: DataFrame, name: str, ranks: int) -> DataFrame:
+    """(_value, _rank) of every distinct text: its place among all rows in text order, as one of ``ranks`` shares.
+
+    Values are counted first; ranges of values then give their totals, so no task holds them all.
+    """
+    counted = df.filter(F.col(f"`{name}`").isNotNull()).groupBy(F.col(f"`{name}`").alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    ranges = cut(counted.repartitionByRange("_value").withColumn("_range", F.spark_partition_id()), "values")
+    total = ranges.agg(F.sum("_rows")).scalar()
+    placed = running_offset(ranges, "_range", ["_value"], F.col("_rows"), "_before")
+    return placed.select("_value", F.floor(F.col("_before") * ranks / total).cast("int").alias("_rank"))
+
+
 def clustered(df: DataFrame, first: str, second: str, partitions: int, bits: int = 6) -> DataFrame:
     """Rows laid out by two columns at once, so that file statistics narrow filters on either.
 
-    Both columns become ranks among ``2**bits`` approximate quantiles; their bits are interleaved
-    and the rows range-partitioned by the result, then by a digest, which splits a frequent pair. Text columns are ranked by their first characters.
+    Both columns become ranks among ``2**bits`` shares of the rows: numbers and times by approximate quantiles,
+    texts by their place among all values, whole values compared. The ranks' bits are interleaved and the rows
+    range-partitioned by the result, then by a digest, which splits a frequent pair. NULL ranks first.
     """
-    def as_number(name: str) -> Column:
-        kind = df.schema[name].dataType.simpleString()
-        if kind == "string":
-            code = F.conv(F.hex(F.substring(F.rpad(F.coalesce(name, F.lit("")), 6, "\u0000"), 1, 6)), 16, 10)
-            return code.cast("double")
-        if kind == "date":
-            return F.unix_date(name).cast("double")
-        if kind.startswith("timestamp"):
-            return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-        return F.col(name).cast("double")
-
-    numbered = df.withColumns({"_x": as_number(first), "_y": as_number(second)})
-    cuts = [i / 2**bits for i in range(1, 2**bits)]
     # 63 numbers per column reach the driver, whatever the size of the table.
-    accuracy = 2 ** (bits + 4)
-    quantiles = numbered.agg(
-        F.percentile_approx("_x", cuts, accuracy), F.percentile_approx("_y", cuts, accuracy)
-    ).first()
-
-    def rank(name: str, bounds: list[float] | None) -> Column:
-        """How many bounds the value reaches, by binary search; 0 for NULL."""
-        marks = sorted(set(bounds or []))
-
-        def search(low: int, high: int) -> str:
-            if low == high:
-                return str(low)
-            middle = (low + high) // 2
-            above, below = search(middle + 1, high), search(low, middle)
-            return f"CASE WHEN {name} >= {marks[middle]!r}D THEN {above} ELSE {below} END"
-
-        return F.expr(search(0, len(marks)))
-
-    curve = spread_bits(rank("_x", quantiles[0]), bits).bitwiseOR(
-        F.shiftleft(spread_bits(rank("_y", quantiles[1]), bits), 1)
-    )
+    cuts, accuracy = [i / 2**bits for i in range(1, 2**bits)], 2 ** (bits + 4)
+    placed = df
+    for mark, name in (("_x", first), ("_y", second)):
+        if isinstance(df.schema[name].dataType, T.StringType):
+            ranks = _text_ranks(df, name, 2**bits).withColumnsRenamed({"_value": f"_value{mark}", "_rank": mark})
+            placed = placed.join(ranks, F.col(f"`{name}`") == F.col(f"_value{mark}"), "left").drop(f"_value{mark}")
+            placed = placed.withColumn(mark, F.coalesce(mark, F.lit(0)))
+        else:
+            number = as_number(df, name)
+            bounds = df.agg(F.percentile_approx(number, cuts, accuracy)).first()[0]
+            placed = placed.withColumn(mark, number).withColumn(mark, rank_among(mark, bounds))
+    curve = spread_bits(F.col("_x"), bits).bitwiseOR(F.shiftleft(spread_bits(F.col("_y"), bits), 1))
     return (
-        numbered.withColumn("_z", curve)
+        placed.withColumn("_z", curve)
         .repartitionByRange(partitions, "_z", first, second, F.xxhash64(*df.columns))
         .sortWithinPartitions("_z")
         .drop("_x", "_y", "_z")
@@ -227,9 +241,13 @@ class VersionedTable:
     def changes(self, keys: Sequence[str], first: int, last: int | None = None) -> DataFrame:
         """The change feed of versions ``first`` to ``last``, both included.
 
-        Version 0 has no version before it: all its rows are inserts.
+        Version 0 has no version before it: all its rows are inserts. Without ``last`` the feed ends with the
+        latest version; a range that is empty or reaches beyond it is an error.
         """
-        last = self.latest() if last is None else min(last, self.latest())
+        latest = self.latest()
+        last = latest if last is None else last
+        if not 0 <= first <= last <= latest:
+            raise ValueError(f"no versions {first} to {last}: the latest is {latest}")
         feeds = []
         for version in range(first, last + 1):
             after = self.read(version)

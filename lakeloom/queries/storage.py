@@ -439,7 +439,7 @@ def _feed_sql(number, old, new):
 
 @query("m9_change_feed", _VERSIONS + " " + " UNION ALL ".join(_feed_sql(n, f"v{n - 1}", f"v{n}") for n in (1, 2, 3)))
 def _(t):
-    return _history(t).changes(["o_orderkey"], 1, 9999)
+    return _history(t).changes(["o_orderkey"], 1)
 
 
 @query(

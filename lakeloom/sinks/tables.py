@@ -55,9 +55,15 @@ def load_if_empty(target: DataFrame, load: Callable[[], None]) -> bool:
     return True
 
 
+def quoted(text: str) -> str:
+    """A text as SQL literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def create_table_as(spark: SparkSession, name: str, path: str, select: str, **frames: DataFrame) -> DataFrame:
     """``CREATE TABLE … AS SELECT`` as Parquet at ``path``."""
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}' AS {select}", **frames)
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {quoted(path)} AS {select}", **frames)
     return spark.table(name)
 
 
@@ -68,8 +74,7 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 
 def commented_view(spark: SparkSession, name: str, comment: str, select: str) -> DataFrame:
     """A view with a comment over registered names."""
-    text = comment.replace("'", "\\'")
-    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} COMMENT '{text}' AS {select}")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} COMMENT {quoted(comment)} AS {select}")
     return spark.table(name)
 
 
@@ -97,7 +102,11 @@ def rewrite_sorted(df: DataFrame, order: Sequence[str], path: str) -> DataFrame:
 
 
 def fan_out(df: DataFrame, column: str, path: str, folder: str = "part_of") -> DataFrame:
-    """One folder per distinct value, named by its identifier form, in a single pass over the rows."""
+    """One folder per distinct value, named by its identifier form, in a single pass over the rows.
+
+    Folder names are text and come back as text. Values with one identifier form share a folder.
+    """
     named = df.withColumn(folder, identifier(F.col(column)))
     write_folders(named, path, [folder])
-    return df.sparkSession.read.parquet(path)
+    schema = T.StructType([f for f in named.schema if f.name != folder] + [T.StructField(folder, T.StringType())])
+    return df.sparkSession.read.schema(schema).parquet(path)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,39 +101,86 @@ def run_quarantine(stream: DataFrame, rules: Rules, path: str, checkpoint: str)
     run_to_files(quarantine(stream, rules), path, checkpoint, ["is_quarantined"])
 
 
+# Pieces of the key space that an upserted table is stored in.
+BUCKETS = 64
+
+
 class UpsertedTable:
-    """Keyed state fed by a stream: one Parquet folder per batch, each the full state after it.
+    """Keyed state fed by streams, in buckets of the key's hash; a batch writes the buckets it touches anew.
 
-    The folder is named by the batch, so a batch that runs again replaces its own result and reads the
-    state before it.
+    Every finished batch is a generation, numbered through all checkpoints. The log names the checkpoint and batch of
+    a generation, so a batch that runs again replaces its own generation, and a stream with a new checkpoint goes
+    on from the state it finds. Batches of one table must not run at the same time.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    LOG = "generation bigint, checkpoint string, batch bigint, buckets array<int>"
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
         self.spark = spark
         self.path = path
-
-    def _folder(self, number: int, kind: str = "state") -> str:
-        return f"{self.path}/{kind}/batch={number}"
-
-    def _state(self, number: int) -> DataFrame | None:
-        return None if number < 0 else self.spark.read.parquet(self._folder(number))
+        self.buckets = buckets
+
+    def _log(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(self.LOG + ", run bigint").parquet(f"{self.path}/log").drop("run")
+        except AnalysisException as missing:
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
+            return self.spark.createDataFrame([], self.LOG)
+
+    def _generation(self, checkpoint: str, batch: int) -> int:
+        log = self._log()
+        own = (F.col("checkpoint") == checkpoint) & (F.col("batch") == batch)
+        found = log.agg(F.max(F.when(own, F.col("generation"))), F.max("generation")).first()
+        return found[0] if found[0] is not None else 0 if found[1] is None else found[1] + 1
+
+    def _state(self, before: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
+        """The newest generation of each bucket, before a generation and among some buckets."""
+        rows = self._log() if before is None else self._log().filter(F.col("generation") < before)
+        latest = rows.select("generation", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.max("generation")).collect()
+        wanted = [(F.col("bucket") == b) & (F.col("generation") == g) for b, g in latest if buckets is None or b in buckets]
+        if not latest:
+            return None
+        # One condition per bucket on the folder names: only these folders are read.
+        held = reduce(Column.__or__, wanted, F.lit(False))
+        return self.spark.read.parquet(f"{self.path}/state").filter(held).drop("generation", "bucket")
 
     def read(self) -> DataFrame:
         """The state after the last batch."""
-        last = self.spark.read.parquet(f"{self.path}/state").agg(F.max("batch")).first()[0]
-        return self.spark.read.parquet(self._folder(last))
+        state = self._state()
+        if state is None:
+            raise ValueError(f"no finished batch below {self.path}")
+        return state
+
+    def _bucketed(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int"))
+
+    def _finish(self, state: DataFrame, keys: Sequence[str], number: int, checkpoint: str, batch: int, touched: list[int]) -> None:
+        folder = f"{self.path}/state/generation={number}"
+        self._bucketed(state, keys).write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        row = self.spark.createDataFrame([(number, checkpoint, batch, touched)], self.LOG)
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/log/run={number}")
+
+    def _each(self, batch: DataFrame, keys: Sequence[str], checkpoint: str, batch_number: int, build) -> None:
+        batch = batch.persist()
+        try:
+            touched = sorted(r[0] for r in self._bucketed(batch, keys).select("bucket").distinct().collect())
+            if touched:
+                number = self._generation(checkpoint, batch_number)
+                state = build(batch, self._state(number, touched), number, touched)
+                self._finish(state, keys, number, checkpoint, batch_number, touched)
+        finally:
+            batch.unpersist()
 
     def run_scd1(
         self, stream: DataFrame, keys: Sequence[str], sequence_by: str, checkpoint: str, ties: Sequence[str] = ()
     ) -> None:
         """Keep the row with the largest sequence per key; a late row never replaces a newer one."""
 
-        def each(batch: DataFrame, number: int) -> None:
-            old = self._state(number - 1)
-            rows = batch if old is None else old.unionByName(batch)
-            scd1(rows, keys, sequence_by, ties).write.mode("overwrite").parquet(self._folder(number))
+        def build(batch: DataFrame, old: DataFrame | None, number: int, touched: list[int]) -> DataFrame:
+            return scd1(batch if old is None else old.unionByName(batch), keys, sequence_by, ties)
 
-        run_batches(stream, each, checkpoint)
+        run_batches(stream, lambda batch, n: self._each(batch, keys, checkpoint, n, build), checkpoint)
 
     def run_scd2(
         self,
@@ -144,17 +193,17 @@ class UpsertedTable:
         """Keep the versions of each key. Only keys of the batch are built anew, from all their rows."""
         keys = list(keys)
 
-        def each(batch: DataFrame, number: int) -> None:
-            batch.write.mode("overwrite").parquet(self._folder(number, "rows"))
-            seen = self.spark.read.parquet(
-                *[self._folder(n, "rows") for n in range(number + 1)]
-            ).select(*batch.columns)
-            touched = self.spark.read.parquet(self._folder(number, "rows")).select(*keys).distinct()
-            fresh = scd2(seen.join(touched, keys, "left_semi"), keys, sequence_by, track_except)
-            old = self._state(number - 1)
+        def build(batch: DataFrame, old: DataFrame | None, number: int, touched: list[int]) -> DataFrame:
+            folder = f"{self.path}/rows"
+            self._bucketed(batch, keys).write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/generation={number}")
+            seen = self.spark.read.parquet(folder).filter((F.col("generation") <= number) & F.col("bucket").isin(touched))
+            # A stream that starts anew brings rows again.
+            seen = seen.select(*batch.columns).distinct()
+            fresh_keys = batch.select(*keys).distinct()
+            fresh = scd2(seen.join(fresh_keys, keys, "left_semi"), keys, sequence_by, track_except)
             if old is not None:
-                fresh = old.join(touched, keys, "left_anti").unionByName(fresh)
+                fresh = old.join(fresh_keys, keys, "left_anti").unionByName(fresh)
             columns = [c for c in fresh.columns if c not in (START, END)] + [START, END]
-            fresh.select(*columns).write.mode("overwrite").parquet(self._folder(number))
+            return fresh.select(*columns)
 
-        run_batches(stream, each, checkpoint)
+        run_batches(stream, lambda batch, n: self._each(batch, keys, checkpoint, n, build), checkpoint)

@@ -131,3 +131,39 @@ def test_deletes_active_final(spark):
     live = H.active(history)
     assert [r[0] for r in rows(live.select("key"))] == ["new"]
     assert rows(H.final(live, H.deleted(history), ["key"])) == rows(live)
+
+
+def test_equal_sequences_need_ties(spark):
+    kind = "id int, at int, x string"
+    df = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (1, 2, "b"), (2, 1, "c")], kind)
+    with pytest.raises(Exception, match="one sequence value"):
+        H.scd2(df, ["id"], "at").collect()
+    assert rows(H.scd2(df, ["id"], "at", ties=["x"])) == [(1, "b", 1, None), (2, "c", 1, None)]
+
+
+def test_a_key_twice_in_a_snapshot_is_an_error(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (1, 2, "b")], "id int, v int, x string")
+    with pytest.raises(Exception, match="twice"):
+        H.scd2_from_snapshots(df, ["id"], "v").collect()
+    with pytest.raises(ValueError, match="twice"):
+        H.snapshot_step(spark.createDataFrame([], "id int, x string, __START_AT int, __END_AT int"), df.drop("v"), ["id"], 3)
+
+
+def test_steps_equal_the_history_of_all_snapshots(spark):
+    import random
+
+    r = random.Random(3)
+    snaps = [(k, v, r.choice("ab"), r.randint(0, 2)) for v in (1, 2, 4, 7, 8) for k in (1, 2, 3, 4, None) if r.random() < 0.7]
+    df = spark.createDataFrame(snaps, "id int, v int, x string, note int")
+    history = H.scd2_from_snapshots(df.filter("v = 1"), ["id"], "v", ["note"])
+    for v in (2, 4, 7, 8):
+        history = H.snapshot_step(history, df.filter(f"v = {v}").drop("v"), ["id"], v, ["note"])
+        assert rows(history) == rows(H.scd2_from_snapshots(df.filter(f"v <= {v}"), ["id"], "v", ["note"]))
+
+
+def test_pieces_follow_the_data(spark):
+    dense = spark.range(10_000).select(F.lit(1).alias("id"), F.col("id").alias("at"), (F.col("id") / 100).cast("int").alias("x"))
+    chunked = dense.withColumn("_sequence", F.col("at").cast("double")).withColumn("c", H.default_chunk(dense, "at"))
+    sizes = [r["count"] for r in chunked.groupBy("c").count().collect()]
+    assert len(sizes) > 100 and max(sizes) < 300
+    assert H.scd2(dense, ["id"], "at").count() == 100

@@ -92,3 +92,17 @@ def test_bronze_columns(spark):
         F.col("filename_timestamp").cast("string"), F.col("load_timestamp").cast("string"), F.col("_metadata.file_name").endswith(".parquet")
     ).first()
     assert tuple(row) == ("2025-03-01 12:00:00", "2025-04-01 00:00:00", True)
+
+
+def test_a_new_checkpoint_goes_on_from_the_state(spark):
+    kind = "id int, at int, x string"
+    first, second = scratch(spark, "in"), scratch(spark, "in")
+    spark.createDataFrame([(1, 1, "a"), (2, 99, "z"), (3, 5, "c")], kind).write.parquet(first)
+    spark.createDataFrame([(1, 2, "b"), (2, 7, "old"), (4, 1, "d")], kind).write.parquet(second)
+    both = spark.read.parquet(first, second)
+    one, two = T.UpsertedTable(spark, scratch(spark, "one"), 4), T.UpsertedTable(spark, scratch(spark, "two"), 4)
+    for folder in (first, second):
+        one.run_scd1(T.file_stream(spark, folder, kind), ["id"], "at", scratch(spark, "checkpoint"))
+        two.run_scd2(T.file_stream(spark, folder, kind), ["id"], "at", scratch(spark, "checkpoint"))
+    assert rows(one.read()) == rows(scd1(both, ["id"], "at"))
+    assert rows(two.read()) == rows(scd2(both, ["id"], "at"))
