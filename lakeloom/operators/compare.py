@@ -174,20 +174,63 @@ def compare_all(
     pairs: Sequence[tuple[str, str]],
     exclude: Sequence[str] = (),
 ) -> DataFrame:
-    """One verdict per pair of schemas and entity of the first schema."""
-    verdicts = [
-        verdict(frame, schemas[target][entity], exclude).select(
-            F.lit(source).alias("source_schema"),
-            F.lit(target).alias("target_schema"),
-            F.lit(entity).alias("entity"),
-            "*",
-        )
-        for source, target in pairs
-        for entity, frame in schemas[source].items()
-    ]
+    """One verdict per pair of schemas and entity of the first schema.
+
+    All frames of an entity with one row type are counted in a single aggregation, one count per schema; every pair
+    is then a difference of two counts.
+    """
+    wanted: dict[str, list[tuple[str, str]]] = {}
+    for pair in pairs:
+        for entity in schemas[pair[0]]:
+            wanted.setdefault(entity, []).append(pair)
+    verdicts = []
+    for entity, asked in wanted.items():
+        frames = {n: without_audit_columns(schemas[n][entity], exclude) for pair in asked for n in pair}
+        alike: dict[tuple, list[tuple[str, str]]] = {}
+        for source, target in asked:
+            if same_schema(frames[source], frames[target]):
+                alike.setdefault(tuple(sorted(frames[source].dtypes)), []).append((source, target))
+            else:
+                verdicts.append(
+                    verdict(frames[source], frames[target]).select(
+                        F.lit(source).alias("source_schema"), F.lit(target).alias("target_schema"), F.lit(entity).alias("entity"), "*"
+                    )
+                )
+        verdicts += [_verdicts(entity, frames, group) for group in alike.values()]
     return reduce(DataFrame.unionByName, verdicts)
 
 
+def _verdicts(entity: str, frames: Mapping[str, DataFrame], pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    names = sorted({n for pair in pairs for n in pair})
+    columns = [F.col(f"`{c}`") for c in frames[names[0]].columns]
+    tagged = [frames[n].select(*columns, F.lit(i).alias("_side")) for i, n in enumerate(names)]
+    counts = reduce(DataFrame.union, tagged).groupBy(*columns).agg(
+        *[F.count_if(F.col("_side") == i).alias(f"_n{i}") for i in range(len(names))]
+    )
+
+    def more(a: str, b: str) -> Column:
+        surplus = F.col(f"_n{names.index(a)}") - F.col(f"_n{names.index(b)}")
+        return F.coalesce(F.sum(F.greatest(surplus, F.lit(0))), F.lit(0))
+
+    rows = counts.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(source).alias("source_schema"),
+                    F.lit(target).alias("target_schema"),
+                    F.lit(entity).alias("entity"),
+                    F.lit(True).alias("schema_equal"),
+                    more(source, target).alias("source_only"),
+                    more(target, source).alias("target_only"),
+                    ((more(source, target) == 0) & (more(target, source) == 0)).alias("equal"),
+                )
+                for source, target in pairs
+            ]
+        ).alias("_all")
+    )
+    return rows.select(F.explode("_all").alias("_one")).select("_one.*")
+
+
 def require_equal(source: DataFrame, target: DataFrame, exclude: Sequence[str] = ()) -> None:
     """Raise with a count and a few examples when the frames differ."""
     a, b = without_audit_columns(source, exclude), without_audit_columns(target, exclude)

@@ -18,19 +18,15 @@ FIRST_NAMES = ("Anna", "Ben", "Carla", "David", "Elena", "Felix", "Gina", "Hugo"
 LAST_NAMES = ("Ammann", "Berger", "Conti", "Dubois", "Egli", "Favre", "Graf", "Huber", "Iseli", "Keller")
 COUNTRIES = ("Austria", "France", "Germany", "Italy", "Liechtenstein", "Switzerland")
 STREETS = ("Bahnhofstrasse", "Dorfstrasse", "Hauptstrasse", "Kirchgasse", "Seeweg")
-RELIGIONS = ("Christianity", "Islam", "Hinduism", "Buddhism", "Judaism")
-EDUCATION = ("High School", "Bachelor", "Master", "PhD")
+RELIGIONS = ("none", "catholic", "reformed", "orthodox", "muslim", "jewish", "other")
+EDUCATION = ("primary", "apprenticeship", "college", "university")
 OCCUPATIONS = (
-    "Engineer", "Teacher", "Doctor", "Lawyer", "Artist", "Chef", "Scientist", "Writer", "Athlete",
-    "Musician", "Architect", "Designer", "Pilot", "Actor", "Police Officer", "Firefighter", "Nurse",
-    "Accountant", "Entrepreneur", "Psychologist", "Journalist", "Salesperson", "Veterinarian",
-    "Electrician", "Plumber", "Mechanic", "Chef", "Waiter", "Baker", "Barista", "Hairdresser",
-    "Construction Worker", "Carpenter", "Librarian", "Pharmacist", "Dentist", "Singer",
-    "Photographer", "Flight Attendant",
+    "miller", "roofer", "surveyor", "optician", "forester", "beekeeper", "tailor", "geologist", "welder", "glazier",
+    "translator", "archivist", "brewer", "potter", "mason", "printer", "tiler", "tanner", "sailor", "vintner",
 )
 MARITAL_STATUS = ("Single", "Married", "Divorced")
 SEX = ("Male", "Female", "Not Sure")
-HOBBIES = ("Reading", "Sports", "Painting", "Cooking", "Traveling")
+HOBBIES = ("chess", "rowing", "knitting", "hiking", "choir", "astronomy")
 
 
 def digest(row_id: Column, seed: int) -> Column:

@@ -136,8 +136,8 @@ def _view(t, window=1):
     dates = C.dates_between(t.events, "ts")
     view = C.date_minute_view(
         C.add_date_columns(dates),
-        C.minute_mapping(dates),
-        C.time_dimension(dates),
+        C.minute_mapping(dates, 60 * window),
+        C.time_dimension(dates, 60 * window),
         None if window == 1 else window,
     )
     minute = F.minute("ts")
