@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lakeloom.queries import QUERIES  # noqa: E402
-from lakeloom.session import build_session  # noqa: E402
+from lakeloom.session import build_session, clear_scratch  # noqa: E402
 
 HEADLINE = """
 l2_lineage_stages l3_column_lineage_stages l5_recursive_lineage l6_lineage_paths l8_all_lineage_paths l9_lineage_flow
@@ -56,6 +56,7 @@ def main() -> None:
             begin = time.perf_counter()
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - begin)
+            clear_scratch(spark)
         seconds[name] = round(statistics.median(times[1:]), 3)
         print(f"{name:28s} {seconds[name]:8.3f}  first {times[0]:.3f}", file=sys.stderr, flush=True)
     scale = re.search(r"sf([0-9.]+)$", folder.rstrip("/"))

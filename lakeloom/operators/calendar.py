@@ -290,12 +290,16 @@ def filter_holidays(
     return day.filter(F.col("_everywhere") | (F.col("_here") & wanted)).drop("_everywhere", "_here")
 
 
-def days_off(holidays: DataFrame) -> DataFrame:
-    """The days-off table with a running id by date, type and comment."""
+def days_off(holidays: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """The days-off table with a running id by date, type and comment.
+
+    With the ``stored`` table of earlier loads the ids go on after its largest one; its rows are not repeated here.
+    """
     rows = holidays.select(
         F.col("date").alias("Date"), F.col("type").alias("Type"), F.col("name").alias("Comment")
     )
-    return running_id(rows, "Date", ["Type", "Comment"], "Id").select(
+    last = None if stored is None else stored.agg(F.max("Id")).first()[0]
+    return running_id(rows, "Date", ["Type", "Comment"], "Id", 1 + (last or 0)).select(
         "Id", "Date", "Type", "Comment"
     )
 

@@ -188,10 +188,11 @@ def simple_paths(
 ) -> DataFrame:
     """Paths without repeated tables, farthest source first, padded with NULL to max_depth+1 columns.
 
+    The rows are the paths themselves: their number may grow with the branching to the power of the depth.
     Paths that still grow after ``max_depth`` rounds are dropped, and so is a branch that only
     meets tables it already holds.
     """
-    links = _links(recursive_lineage(edges, start, max_depth, day))
+    links = cut(_links(recursive_lineage(edges, start, max_depth, day)), "links")
     paths = edges.sparkSession.createDataFrame([([start],)], "path array<string>").withColumn(
         "done", F.lit(False)
     )
@@ -233,7 +234,7 @@ def left_paths(
     edges: DataFrame, start: str, max_depth: int = 5, day: object | None = None
 ) -> DataFrame:
     """Paths ending in ``start`` as ``stage_0 … stage_<max_depth>``, short ones NULL at the front."""
-    links = _links(recursive_lineage(edges, start, max_depth, day))
+    links = cut(_links(recursive_lineage(edges, start, max_depth, day)), "links")
     root = edges.sparkSession.createDataFrame([(start,)], f"stage_{max_depth} string")
     return _grow_left(root, links, max_depth).select(
         *[f"stage_{s}" for s in range(max_depth + 1)], F.lit(1).alias("value")

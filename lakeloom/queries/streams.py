@@ -133,6 +133,22 @@ def _(t):
     return quality.valid(flagged).unionByName(quality.invalid(flagged))
 
 
+@query(
+    "t6_quarantine_metrics",
+    """SELECT 'not_small' AS rule, count(*) FILTER (value >= 10) AS passed, count(*) FILTER (value < 10) AS failed,
+         (SELECT count(*) FROM {events} WHERE NOT (value >= 10 AND user_id > 20)) AS quarantined FROM {events}
+       UNION ALL SELECT 'known_user', count(*) FILTER (user_id > 20), count(*) FILTER (user_id <= 20),
+         (SELECT count(*) FROM {events} WHERE NOT (value >= 10 AND user_id > 20)) FROM {events}""",
+)
+def _(t):
+    """The counts per rule that the quarantine stream keeps beside its rows."""
+    folder = t.scratch("quarantine")
+    T.run_quarantine(_stream(t), _value_rules(), f"{folder}/data", f"{folder}/checkpoint", f"{folder}/metrics")
+    held = read_flagged(t.spark, f"{folder}/data", t.events.schema, "is_quarantined").filter("is_quarantined")
+    counts = t.spark.read.parquet(f"{folder}/metrics").groupBy("rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+    return counts.withColumn("quarantined", held.agg(F.count(F.lit(1))).scalar())
+
+
 def _event_parts(t):
     """The events in a few files of mixed times, so that rows also come late."""
     folder = t.scratch("parts")

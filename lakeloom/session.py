@@ -28,6 +28,10 @@ def build_session(app: str = "lakeloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+# Paths given out, by application.
+_NAMED: dict[str, list[str]] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors reach, as named by ``spark.checkpoint.dir``.
 
@@ -46,7 +50,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _NAMED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what lies at the paths that :func:`scratch` gave out in this application; returns their number.
+
+    For the end of a job: frames that read there, results of loops among them, cannot be used any more.
+    """
+    paths = _NAMED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:

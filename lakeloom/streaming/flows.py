@@ -96,9 +96,27 @@ def run_expectations(
     run_batches(stream, each, checkpoint)
 
 
-def run_quarantine(stream: DataFrame, rules: Rules, path: str, checkpoint: str) -> None:
-    """All rows with their flag, in one folder per flag value."""
-    run_to_files(quarantine(stream, rules), path, checkpoint, ["is_quarantined"])
+def run_quarantine(
+    stream: DataFrame, rules: Rules, path: str, checkpoint: str, metrics_path: str | None = None
+) -> None:
+    """All rows with their flag, in one folder per flag value.
+
+    With ``metrics_path`` the rules are counted beside the flag, one folder per batch there, from the same read.
+    """
+    if metrics_path is None:
+        run_to_files(quarantine(stream, rules), path, checkpoint, ["is_quarantined"])
+        return
+
+    def each(batch: DataFrame, number: int) -> None:
+        watched = watch(batch, rules, "warn")
+        flagged = quarantine(watched.rows, rules)
+        flagged.write.mode("overwrite").partitionBy("is_quarantined").parquet(f"{path}/batch={number}")
+        counts = batch.sparkSession.createDataFrame(
+            watched.counts(), "rule string, passed bigint, failed bigint"
+        )
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch={number}")
+
+    run_batches(stream, each, checkpoint)
 
 
 # Pieces of the key space that an upserted table is stored in.

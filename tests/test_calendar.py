@@ -122,3 +122,10 @@ def test_days_off_and_flags(spark):
     marked = C.apply_holidays(C.date_dimension(spark, "2023-12-31", "2024-01-02"), table)
     assert [r[1] for r in rows(marked.select("DatePK", "IsHoliday"))] == [None, None, True]
     assert marked.count() == 3
+
+
+def test_days_off_ids_go_on_after_a_load(spark):
+    rows_of = lambda year: spark.createDataFrame([(f"{year}-01-01", "h", "a"), (f"{year}-08-01", "h", "b")], "date string, type string, name string").withColumn("date", F.col("date").cast("date"))
+    first = C.days_off(rows_of(2024))
+    both = first.union(C.days_off(rows_of(2025), first))
+    assert [r.Id for r in both.orderBy("Date").collect()] == [1, 2, 3, 4]

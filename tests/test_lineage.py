@@ -128,3 +128,20 @@ def test_newest_rows_of_target_counts_all_types(spark):
     )
     assert rows(L.newest_rows_of(edges, "b")) == []
     assert len(rows(L.newest_rows_of(edges, "b", "JOB"))) == 1
+
+
+def test_nothing_stays_cached_and_scratch_is_cleared(spark, monkeypatch):
+    import os
+
+    from lakeloom import session
+    from lakeloom.operators import lineage
+    from lakeloom.session import clear_scratch, scratch
+
+    edges = spark.createDataFrame([("c.a.x", "c.b.y", "2024-01-01")], "source_table_full_name string, target_table_full_name string, event_date string")
+    edges = edges.withColumn("event_date", edges.event_date.cast("date"))
+    assert lineage.latest_edges(edges).count() == 1
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+    monkeypatch.setattr(session, "_NAMED", {})
+    path = scratch(spark, "x")
+    edges.write.parquet(path)
+    assert clear_scratch(spark) >= 1 and not os.path.exists(path) and clear_scratch(spark) == 0
