@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 import math
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,23 @@ ROUNDS = 12
 
 @dataclass
 class Index:
-    """Codebooks per dimension: (first half, second half), and the squared radius at which a walk stops."""
+    """Codebooks per dimension, (first half, second half); the squared distance that partners have at most, and
+    the recall that walks aim at."""
 
     books: dict[int, tuple[np.ndarray, np.ndarray]]
-    stop: float
+    reach: float
+    recall: float
+
+    def stop(self, d: int) -> float:
+        """The bound, squared, beyond which a walk ends.
+
+        Recall 1 ends where no cell can hold a partner. Below 1, a partner counts as a step of random direction: its
+        part along the normal of a plane is about normal with the reach over the root of the dimension as deviation,
+        so a walk that goes as far as the normal quantile of the recall meets that share of the farthest partners.
+        """
+        if self.recall >= 1:
+            return self.reach
+        return min(self.reach, NormalDist().inv_cdf(max(self.recall, 0.5)) ** 2 * self.reach / d + 1e-12)
 
     def halves(self, unit: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per half: the nearest code of every vector, and lower bounds of the distances to all codes' regions."""
@@ -102,27 +116,15 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
 
 
 def fit(vectors: DataFrame, rows: int, cosine: float, recall: float = 1.0) -> Index:
-    """Codebooks from at most ``SAMPLE`` of the distinct ``vec``; the grid grows with the number of rows.
-
-    Recall below 1 lets walks stop early: at the quantile of the bounds that partners in the sample have.
-    """
+    """Codebooks from at most ``SAMPLE`` of the distinct ``vec``; the grid grows with the number of rows."""
     picked = vectors.orderBy(F.xxhash64("vec", "label"), "cid").limit(SAMPLE).select("vec").toArrow()
     by_size: dict[int, list] = {}
     for v in picked.column("vec").to_pylist():
         by_size.setdefault(len(v), []).append(v)
     codes = min(MOST_CODES, max(8, math.ceil(math.sqrt(rows / PER_CELL))))
-    units = {d: unit_rows(np.array(v, np.float64)) for d, v in by_size.items()}
-    books = {d: (kmeans(u[:, : d // 2], codes), kmeans(u[:, d // 2 :], codes)) for d, u in units.items() if d > 1}
-    index = Index(books, (2 - 2 * cosine) * (1 + 1e-9) + 1e-12)
-    if recall < 1:
-        costs: list[float] = []
-        for d, u in units.items():
-            (own1, low1), (own2, low2) = index.halves(u)
-            i, j = np.nonzero(np.triu(u[:2000] @ u[:2000].T >= cosine, 1))
-            costs += (low1[i, own1[j]] ** 2 + low2[i, own2[j]] ** 2).tolist()
-        if costs:
-            index.stop = min(index.stop, float(np.quantile(costs, recall, method="higher")) + 1e-12)
-    return index
+    units = {d: unit_rows(np.array(v, np.float64)) for d, v in by_size.items() if d > 1}
+    books = {d: (kmeans(u[:, : d // 2], codes), kmeans(u[:, d // 2 :], codes)) for d, u in units.items()}
+    return Index(books, (2 - 2 * cosine) * (1 + 1e-9) + 1e-12, recall)
 
 
 def _matrix(column: pa.Array, start: int, stop: int) -> np.ndarray:
@@ -141,9 +143,10 @@ def _place(index: Index):
                 part = batch.take(pa.array(rows))
                 unit = unit_rows(_matrix(part.column("vec"), 0, len(rows)))
                 (own1, low1), (own2, low2) = index.halves(unit)
+                stop = index.stop(int(d))
                 at, first, second, asks = [*range(len(rows))], own1.tolist(), own2.tolist(), [False] * len(rows)
                 for k in range(len(rows)):
-                    for i, j, _ in walk(low1[k], low2[k], index.stop):
+                    for i, j, _ in walk(low1[k], low2[k], stop):
                         at.append(k), first.append(i), second.append(j), asks.append(True)
                 taken = part.take(pa.array(at))
                 made = [pa.array(first, pa.int32()), pa.array(second, pa.int32()), pa.array(asks)]

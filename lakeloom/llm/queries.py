@@ -65,9 +65,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LINKS = """
 WITH RECURSIVE fine AS (
-  SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND list_bool_and(list_transform(embedding, x -> coalesce(isfinite(x), false))) AND list_bool_or(list_transform(embedding, x -> x <> 0))),
+    AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))) AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
 link AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
   WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98),
@@ -81,7 +81,7 @@ FROM embeddings v JOIN least l ON v.vec_id = l.a LEFT JOIN degree d ON d.a = v.v
 
 @query("op7_embedding_near_dedup", LINKS)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), recall=0.9999)
 
 
 @query("op8_packing")
