@@ -25,10 +25,15 @@ def map_batches(df: DataFrame, work: Callable, schema: T.StructType | str, rows:
 
     ``work`` goes from an iterator of record batches to an iterator of record batches.
     """
+    limit_batches(df, rows)
+    return df.mapInArrow(work, schema)
+
+
+def limit_batches(df: DataFrame, rows: int = 500) -> None:
+    """No more rows than these in one Arrow batch of the session, so that long texts do not add up."""
     conf = df.sparkSession.conf
     if int(conf.get(BATCH_ROWS)) > rows:
         conf.set(BATCH_ROWS, str(rows))
-    return df.mapInArrow(work, schema)
 
 
 def arrow_schema(schema: T.StructType) -> pa.Schema:

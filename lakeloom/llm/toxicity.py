@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.tasks import Batches, free_name, map_batches, only, worker_store
+from lakeloom.llm.tasks import Batches, free_name, limit_batches, map_batches, only, worker_store
 from lakeloom.session import cut
 
 # Labelled rows used to learn, at most; taken in the order of a hash of their key.
@@ -273,7 +273,7 @@ def _counting(costs: np.ndarray, chosen: frozenset[str] | None, toxic: int):
 
 
 def _holding(costs: np.ndarray, chosen: frozenset[str]):
-    """Of each toxic document, whether it holds a chosen feature."""
+    """Of each toxic document, the features among those chosen that it holds."""
 
     def work(batches: Batches) -> Batches:
         table, known = costs.tolist(), {}
@@ -281,8 +281,8 @@ def _holding(costs: np.ndarray, chosen: frozenset[str]):
             rows = []
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if label == 1:
-                    rows.append(any(f in chosen for w in _words(text or "", table, known) for f in features(w)))
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.bool_())], ["held"])
+                    rows.append(sorted({f for w in _words(text or "", table, known) for f in features(w) if f in chosen}))
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.string()))], ["held"])
 
     return work
 
@@ -332,7 +332,9 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
 
     A word or stem is listed if the documents that hold it are toxic far more often than the rest (likelihood
     ratio above 2 ln of the number of features: about one is expected by chance) and mostly toxic. Of stems
-    and words with equal counts the longest stem stands for all. Without toxic labels the list is empty.
+    and words with equal counts the longest stem stands for all. A feature that clean documents hold too must
+    bring as many toxic documents that no surer feature covers, so a stem gives way to the longer one it is part
+    of. Without toxic labels the list is empty.
     """
     costs = character_costs(docs, text)
     sample = cut(labelled(docs, labels, label, key, text, bound), "sample")
@@ -356,10 +358,16 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
         weight = (n + share) / (n + m + 1)
         if weight >= 0.5 and 2 * (n * math.log(n / (n + m) / share) + (m * math.log(m / (n + m) / (1 - share)) if m else 0)) > bar:
             weights[feature] = weight
-    chosen = {f: w for f, w in weights.items() if not any(weights.get(g) == w and g != f for g in _wider(f, weights))}
-    holding = map_batches(sample, _holding(costs, frozenset(chosen)), "held boolean")
-    free = holding.filter("NOT held").count()
-    base = free / max(1, free + good - min(good, sum(b.get(f, 0) for f in chosen)))
+    apart = {f: w for f, w in weights.items() if not any(weights.get(g) == w and g != f for g in _wider(f, weights))}
+    holding = map_batches(sample, _holding(costs, frozenset(apart)), "held array<string>").collect()
+    uncovered = [frozenset(r["held"]) for r in holding]
+    chosen: dict[str, float] = {}
+    for feature in sorted(apart, key=lambda f: (-apart[f], -len(f), f)):
+        wrong = b.get(feature, 0)
+        if not wrong or sum(feature in held for held in uncovered) >= wrong:
+            chosen[feature] = apart[feature]
+            uncovered = [held for held in uncovered if feature not in held]
+    base = len(uncovered) / max(1, len(uncovered) + good - min(good, sum(b.get(f, 0) for f in chosen)))
     return Model(costs, chosen, min(base, 0.25))
 
 
@@ -376,6 +384,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     weights, base, costs = model.weights, model.base, model.costs
     store = f"toxicity {hash((tuple(sorted(weights.items())), base, float(costs.sum())))}"
 
+    limit_batches(docs)
+
     @F.pandas_udf("double")
     def scored(texts):
         import pandas as pd

@@ -13,6 +13,7 @@ import corpus_pipeline
 from lakeloom.llm import quality_rules
 from lakeloom.llm.queries import ORACLE, QUERIES
 from tests.helpers import plan
+from tests.llm.cases import no_rows, odd_documents
 from tests.llm.test_filters import brute_measures, brute_ratios
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 from tests.llm.test_texts import check_packing
@@ -144,3 +145,13 @@ def test_pipeline(spark, docs):
     got = [r.asDict() for r in corpus_pipeline.run(spark, FOLDER).collect()]
     assert {g["doc_id"] for g in got} == set(left)
     check_packing(got, full_ids(left), 4096)
+
+
+def test_stages_on_odd_rows(spark):
+    docs = odd_documents(spark)
+    for rows in (docs, no_rows(docs)):
+        for name, stage in corpus_pipeline.STAGES:
+            made = stage(spark, rows, FOLDER)
+            made.collect()
+            assert name == "packing" or made.columns == docs.columns
+    assert corpus_pipeline.drop_toxic(spark, docs, FOLDER).count() == docs.count()
