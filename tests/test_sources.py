@@ -117,3 +117,13 @@ def test_markets_gold_names(spark):
     columns = ", ".join(f"1 AS {c}" for c in dict.fromkeys(c for _, c in medallion.MARKET_MEASURES))
     gold = medallion.markets_gold(spark.sql(f"SELECT 2024 AS year, 1 AS month, DATE'2024-01-01' AS date, {columns}"))
     assert len(gold.columns) == 21 and "total_volume" in gold.columns and "total_market_cap" in gold.columns
+
+
+def test_fan_out_keeps_codes_as_text(spark):
+    from lakeloom.session import scratch
+    from lakeloom.sinks import tables
+
+    df = spark.createDataFrame([("007", 1), ("12", 2), ("a b", 3)], "code string, n int")
+    got = tables.fan_out(df, "code", scratch(spark, "fan"))
+    assert sorted((r.code, r.n, r.part_of) for r in got.collect()) == [("007", 1, "007"), ("12", 2, "12"), ("a b", 3, "a_b")]
+    assert tables.quoted("it's \\") == "'it\\'s \\\\'"
