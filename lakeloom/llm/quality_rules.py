@@ -12,8 +12,6 @@ from lakeloom.session import cut
 
 # Hash buckets of the two multinomials.
 BUCKETS = 1 << 14
-# Trusted documents the target is estimated from, at most; taken in the order of a hash of their key.
-TRUSTED = 20_000
 # Kept are documents with at least this mean log ratio per n-gram, in nats.
 THRESHOLD = -0.15
 # Rules of the base.
@@ -78,17 +76,17 @@ def bucket(*words: Column) -> Column:
     return F.pmod(F.xxhash64(*words), F.lit(BUCKETS)).cast("int")
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", bound: int = TRUSTED) -> DataFrame:
+def log_ratios(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """(bucket, ratio) for every bucket: log of its share among the words and word pairs of trusted documents
     over its share in all documents, one added to every count, to six decimals.
 
-    Trusted are documents labelled 1, at most ``bound`` of them; their keys are cut to the bound before they are
-    broadcast. The other side counts every word of every document, in partial sums per task.
+    Trusted are all documents labelled 1; texts meet their keys by an ordinary shuffle join, the same for any number of
+    labels. Both sides count every word, in partial sums per task.
     """
     named = F.col(f"`{key}`")
     good = labels.filter(named.isNotNull() & (F.col(f"`{label}`") == 1)).select(named.alias("_key")).distinct()
-    good = good.orderBy(F.xxhash64("_key"), "_key").limit(bound).withColumn("_good", F.lit(True))
-    each = docs.select(named.alias("_key"), words_of(F.col(f"`{text}`")).alias("w")).join(F.broadcast(good), "_key", "left")
+    each = docs.select(named.alias("_key"), F.col(f"`{text}`").alias("_text")).join(good.withColumn("_good", F.lit(True)).hint("merge"), "_key", "left")
+    each = each.select("_good", words_of(F.col("_text")).alias("w"))
     pairs = each.select("_good", F.explode(F.arrays_zip(F.col("w").alias("x"), F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))).alias("y"))).alias("g"))
     grams = pairs.select("_good", F.explode(F.array(bucket(F.col("g.x")), F.when(F.col("g.y").isNotNull(), bucket(F.col("g.x"), F.col("g.y"))))).alias("bucket"))
     counts = grams.filter("bucket is not null").groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_good").alias("good"))

@@ -148,6 +148,16 @@ def test_quality_rules_against_brute_force(corpus):
     assert {r.doc_id for r in quality_rules.accepted(docs, marks).collect()} == {i for i, r in got.items() if r.kept}
 
 
+def test_every_trusted_document_counts(spark):
+    """More trusted documents than any bound; those last in hash order hold words of their own."""
+    rows = [(i, f"w{i % 97} x{i // 5000}") for i in range(25_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = docs.selectExpr("doc_id", "int(doc_id % 10 > 0) as quality", "0 as toxic")
+    want = brute_ratios(rows, {i for i, _ in rows if i % 10})
+    got = {r.doc_id: r.ratio for r in quality_rules.judge(docs, marks).collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+
+
 def test_repeats_of_many_kinds(spark):
     r = random.Random(4)
     made = [" ".join(r.choice("ab") for _ in range(r.randint(0, 30))) for _ in range(200)]
