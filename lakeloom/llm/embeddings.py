@@ -26,7 +26,7 @@ from lakeloom.session import cut, cut_and_count
 SAMPLE = 20_000
 # Vectors of a cell, and queries of a cell, compared in one step.
 TILE = 1024
-# Distinct vectors per cell that the grid is laid out for, and the most codes per half.
+# Distinct vectors of the largest label per cell that the grid is laid out for, and the most codes per half.
 PER_CELL, MOST_CODES = 128, 1024
 ROUNDS = 12
 
@@ -116,7 +116,7 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
 
 
 def fit(vectors: DataFrame, rows: int, cosine: float, recall: float = 1.0) -> Index:
-    """Codebooks from at most ``SAMPLE`` of the distinct ``vec``; the grid grows with the number of rows."""
+    """Codebooks from at most ``SAMPLE`` of the distinct ``vec``; the grid grows with ``rows``, those compared with each other."""
     picked = vectors.orderBy(F.xxhash64("vec", "label"), "cid").limit(SAMPLE).select("vec").toArrow()
     by_size: dict[int, list] = {}
     for v in picked.column("vec").to_pylist():
@@ -133,7 +133,10 @@ def _matrix(column: pa.Array, start: int, stop: int) -> np.ndarray:
 
 
 def _place(index: Index):
-    """Every vector once as member of its cell, and once as query for each cell its walk meets."""
+    """Every vector once as member of its cell, and once as query for each cell its walk meets, its own and those after it.
+
+    The bounds hold for both ends of a pair, so the end in the earlier cell meets the other.
+    """
 
     def work(batches: Batches) -> Batches:
         for batch in batches:
@@ -145,20 +148,25 @@ def _place(index: Index):
                 (own1, low1), (own2, low2) = index.halves(unit)
                 stop = index.stop(int(d))
                 at, first, second, asks = [*range(len(rows))], own1.tolist(), own2.tolist(), [False] * len(rows)
-                for k in range(len(rows)):
+                for k, home in enumerate(zip(first[:], second[:])):
                     for i, j, _ in walk(low1[k], low2[k], stop):
-                        at.append(k), first.append(i), second.append(j), asks.append(True)
+                        if (i, j) >= home:
+                            at.append(k), first.append(i), second.append(j), asks.append(True)
                 taken = part.take(pa.array(at))
-                made = [pa.array(first, pa.int32()), pa.array(second, pa.int32()), pa.array(asks)]
+                inside = (own1[at] == first) & (own2[at] == second)
+                made = [pa.array(first, pa.int32()), pa.array(second, pa.int32()), pa.array(asks), pa.array(inside)]
                 yield pa.RecordBatch.from_arrays(
-                    [taken.column(n) for n in ("cid", "label", "n", "vec")] + made, ["cid", "label", "n", "vec", "i", "j", "asks"]
+                    [taken.column(n) for n in ("cid", "label", "n", "vec")] + made, ["cid", "label", "n", "vec", "i", "j", "asks", "home"]
                 )
 
     return work
 
 
 def _verify(cosine: float):
-    """Per tile: how many vectors each query links to, and a spanning forest of the links."""
+    """Per tile: how many vectors each query and each member links to, and a spanning forest of the links.
+
+    Each pair comes once: from the earlier cell, and inside a cell from the smaller ``cid``.
+    """
 
     def work(batches: Batches) -> Batches:
         for batch in batches:
@@ -172,12 +180,13 @@ def _verify(cosine: float):
                     sides[name] = (
                         tile.field("cid").to_numpy(), tile.field("n").to_numpy(), unit_rows(_matrix(vec, 0, len(vec)))
                     )
-                (qid, _, q), (mid, n, m) = sides["asks"], sides["held"]
-                close = (q @ m.T >= cosine) & (qid[:, None] != mid[None, :])
-                found = close @ n
+                home = batch.column("asks")[row].values.field("home").to_numpy(zero_copy_only=False)
+                (qid, times, q), (mid, n, m) = sides["asks"], sides["held"]
+                close = (q @ m.T >= cosine) & (~home[:, None] | (qid[:, None] < mid[None, :]))
                 x, y = np.nonzero(close)
-                ids.append(qid[found > 0])
-                links.append(found[found > 0])
+                for own, found in ((qid, close @ n), (mid, times @ close)):
+                    ids.append(own[found > 0])
+                    links.append(found[found > 0])
                 a, b = forest(np.concatenate([a, qid[x]]), np.concatenate([b, mid[y]]))
             ids, links = np.concatenate(ids), np.concatenate(links).astype(np.int64)
             none = pa.nulls(len(ids), pa.int64())
@@ -210,13 +219,14 @@ def near_duplicates(
     fine = rows.filter("fine").select("key", "label", "vec")
     classes = fine.groupBy("label", "vec").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("n"))
     classes, count = cut_and_count(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    index = fit(classes, count, cosine, recall)
+    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] if count else 0
+    index = fit(classes, largest, cosine, recall)
 
     kinds = {f.name: f.dataType.simpleString() for f in classes.schema}
-    shape = f"cid bigint, label {kinds['label']}, n bigint, vec {kinds['vec']}, i int, j int, asks boolean"
+    shape = f"cid bigint, label {kinds['label']}, n bigint, vec {kinds['vec']}, i int, j int, asks boolean, home boolean"
     placed = cut(map_batches(classes.select("cid", "label", "n", "vec"), _place(index), shape, 1000), "placed")
     cell = ["label", F.size("vec").alias("d"), "i", "j"]
-    keyed = placed.select(F.struct(*cell).alias("cell"), "asks", F.struct("cid", "n", "vec").alias("one"))
+    keyed = placed.select(F.struct(*cell).alias("cell"), "asks", F.struct("cid", "n", "vec", "home").alias("one"))
     pieces = lambda c: F.ceil(F.count_if(c) / TILE).cast("int")
     sizes = keyed.groupBy("cell").agg(pieces(F.col("asks")).alias("a"), pieces(~F.col("asks")).alias("h")).filter("a > 0 and h > 0")
     whole = keyed.join(sizes, "cell")

@@ -81,7 +81,7 @@ FROM embeddings v JOIN least l ON v.vec_id = l.a LEFT JOIN degree d ON d.a = v.v
 
 @query("op7_embedding_near_dedup", LINKS)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), recall=0.9999)
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), recall=1.0)
 
 
 @query("op8_packing")

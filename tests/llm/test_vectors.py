@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.llm import embeddings, sharding
+from lakeloom.llm.queries import QUERIES
 from tests.helpers import plan
 from tests.llm.cases import no_rows, odd_documents
 
@@ -87,6 +88,17 @@ def test_links_against_brute_force(spark, tile, monkeypatch):
     assert embeddings.near_duplicates(no_rows(table)).collect() == []
 
 
+def test_registered_query_meets_partners_of_low_rank(spark, tmp_path):
+    """64 dimensions, all differences in two of them: steps run straight across the borders of cells."""
+    angles = np.random.default_rng(6).uniform(0, 2 * np.pi, 400)
+    vectors = np.zeros((400, 64))
+    vectors[:, 3], vectors[:, 5] = np.cos(angles), np.sin(angles)
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    frame.write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = sorted((tuple(x) for x in QUERIES["op7_embedding_near_dedup"](spark, str(tmp_path)).collect()), key=repr)
+    assert got == brute(range(400), list(vectors), [1] * 400, 0.98)
+
+
 def test_walk_is_ordered_and_complete():
     r = np.random.default_rng(3)
     a, b = r.random(9), r.random(7)
