@@ -46,9 +46,10 @@ GAPS = frozenset("-._*~'’/\\:,;^`=#%&\"")
 AROUND = ".,;:?\"'()[]{}…«»“”‘’*#%&~^_`<>=/\\-–—"
 
 # Channel costs, in nats.
-COST_ALIKE, COST_DROP, COST_SIGN, COST_RUN, COST_GAP, COST_BREAK = 1.5, 4.0, 6.0, 0.5, 1.0, 2.0
+COST_ALIKE, COST_DROP, COST_SIGN, COST_PAIR, COST_RUN, COST_GAP, COST_BREAK = 1.5, 4.0, 6.0, 4.0, 0.5, 1.0, 2.0
 
-_RUN = re.compile(r"(\w)\1\1")
+_RUN = re.compile(rf"([{LETTERS}])\1")
+_EDGE_RUN = re.compile(r"^([$!|+@])\1+|([$!|+@])\2+$")
 _SAME = re.compile(r"(.)\1*", re.S)
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 
@@ -123,6 +124,8 @@ def arcs(line: str, at: int) -> list[tuple[int, str, float]]:
         return [(1, "", COST_GAP / 2), (1, " ", 0.0)]
     if c in CODE:
         plain = [(run, c * run, 0.0)]
+        if run == 2:
+            plain.append((run, c, COST_PAIR))
         return plain if run < 3 else [*plain, (run, c, COST_RUN), (run, c + c, COST_RUN)]
     if c in ALIKE:
         found = [(run, letter * run, COST_ALIKE * run) for letter in ALIKE[c]]
@@ -136,7 +139,12 @@ def arcs(line: str, at: int) -> list[tuple[int, str, float]]:
 
 
 def decode(line: str, costs) -> str:
-    """The cheapest reading of a lower-case line; signs that are no letters of the alphabet become ``\\0``.
+    """The cheapest reading of a lower-case line; signs that are no letters of the alphabet become ``\\0``."""
+    return search(line, costs)[0]
+
+
+def search(line: str, costs) -> tuple[str, float]:
+    """The cheapest reading of a lower-case line and its cost.
 
     Where all open paths share one state their common part is settled and forgotten, so memory grows with the
     ambiguous stretches of a line and time with its length.
@@ -188,25 +196,46 @@ def decode(line: str, costs) -> str:
                     layer[a, b] = (total, at, state, written)
         at += found[0][0]
     end = {s: v[0] + (costs[(s[0] * SIZE + s[1]) * SIZE + EDGE] if s[1] != EDGE else 0) for s, v in layers[len(line)].items()}
-    settle(len(line), min(end, key=lambda s: (end[s], s)))
-    return "".join(done)
+    last = min(end, key=lambda s: (end[s], s))
+    settle(len(line), last)
+    return "".join(done), end[last]
 
 
-def readings(token: str, costs) -> tuple[str, ...]:
-    """The words a lower-case token stands for. A token whose lattice has one path alone needs no search."""
-    if token.isalpha() and not _RUN.search(token):
-        return (token,)
+def cores(token: str) -> list[str]:
+    """The token without the signs around it, and, where a doubled sign stands at its edge, with that read as letters."""
     core = token.rstrip(AROUND + "!").lstrip(AROUND)
+    bare = core
     for sign in "$!|+@":
-        if core.endswith(2 * sign):
-            core = core.rstrip(sign + AROUND)
-        if core.startswith(2 * sign):
-            core = core.lstrip(sign + AROUND)
+        if bare.endswith(2 * sign):
+            bare = bare.rstrip(sign + AROUND)
+        if bare.startswith(2 * sign):
+            bare = bare.lstrip(sign + AROUND)
+    if not bare or not _EDGE_RUN.search(core):
+        return [bare]
+    letters = [_EDGE_RUN.sub(lambda m: ALIKE[m[0][0]][k % len(ALIKE[m[0][0]])] * len(m[0]), core) for k in (0, 1)]
+    return list(dict.fromkeys([bare, *letters]))
+
+
+def read(core: str, costs) -> tuple[str, ...]:
+    """The words a core stands for. One whose lattice has one path alone needs no search; one without a letter stands
+    for words only if they are cheaper than its signs as they are."""
     if core.isalpha() and not _RUN.search(core):
         return (core,)
-    if not any(c.isalpha() for c in core):
+    if not core:
+        return ()
+    found, cost = search(core, costs)
+    if core.isalpha() and "\0" in found:
+        return (core,)
+    if not any(c.isalpha() for c in core) and ("\0" in found or cost >= COST_SIGN * sum(c in ALIKE for c in core)):
         return ()
-    return tuple(decode(core, costs).split())
+    return tuple(found.split())
+
+
+def readings(token: str, costs) -> tuple[str, ...]:
+    """The words a lower-case token may stand for; a doubled sign at its edge is tried as noise and as letters."""
+    if token.isalpha() and not _RUN.search(token):
+        return (token,)
+    return tuple(dict.fromkeys(w for core in cores(token) for w in read(core, costs)))
 
 
 def spaced(text: str) -> list[str]:

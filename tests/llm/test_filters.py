@@ -48,6 +48,16 @@ def test_disguised_words_are_restored(model):
     assert toxicity.restore("2024 *** 你", costs) == "你"
 
 
+def test_signs_at_edges_letterless_and_doubled_words_are_read(spark):
+    docs = spark.createDataFrame([(i, "ass snake idiot tits bass pass glass a letter class") for i in range(20)], "doc_id long, text string")
+    costs = toxicity.character_costs(docs).tolist()
+    for seen, meant in {"a$$": "ass", "$$nake": "snake", "455": "ass", "4$$": "ass", "@$$": "ass", "71+5": "tits", "iiddiioott": "idiot"}.items():
+        assert meant in toxicity.readings(seen, costs), seen
+    for seen, meant in {"snake$$$": "snake", "idiot!!": "idiot", "letter": "letter", "class": "class"}.items():
+        assert meant in toxicity.readings(seen, costs), seen
+    assert toxicity.readings("2024", costs) == toxicity.readings("$$$", costs) == () and toxicity.readings("你你", costs) == ("你你",)
+
+
 def test_cheapest_path_of_the_lattice(model):
     """Viterbi against all paths."""
     costs = model.costs.tolist()
