@@ -15,7 +15,7 @@ from lakeloom.llm.tasks import Batches, map_batches, only
 # Elements whose whole content is no article text.
 DROPPED = frozenset(
     "head title script style noscript template nav header footer aside form button select textarea option input "
-    "iframe object embed canvas svg math dialog menu map audio video".split()
+    "datalist iframe object embed canvas svg math dialog menu map audio video".split()
 )
 # Elements that start and end a block of text.
 BLOCKS = frozenset(
@@ -26,6 +26,16 @@ BLOCKS = frozenset(
 FRAMES = ("article", "main")
 CONTAINERS = frozenset((*FRAMES, *"section div td center fieldset".split()))
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+# What may stand in a head; any other element or text ends one that is still open.
+HEADING = frozenset("html head base basefont bgsound link meta title style script noscript template".split())
+# Elements with optional end tags, by the start tag that ends them; elements that the search for them passes (or, for
+# parts of tables and option, does not go beyond).
+_CELLS, _PASSED = frozenset("td th caption".split()), frozenset("address div p span a ins".split())
+ENDS = {
+    "li": frozenset(["li"]), **dict.fromkeys(("dt", "dd"), frozenset(["dt", "dd"])), "option": frozenset(["option"]),
+    **dict.fromkeys(("td", "th"), _CELLS), "tr": _CELLS | {"tr"}, **dict.fromkeys(("thead", "tbody", "tfoot"), _CELLS | {"tr", "thead", "tbody", "tfoot"}),
+}
+BEYOND = {**dict.fromkeys("td th tr thead tbody tfoot".split(), frozenset(["table"])), "option": frozenset(["select", "datalist"])}
 # Words in class, id or role that mark parts around an article, and words that mark the article itself.
 AROUND = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead banner footer contentinfo sidebar aside complementary widget "
@@ -80,6 +90,7 @@ class Reader(HTMLParser):
             self.block.parts.append(" ") if not self.skipping and self.block.parts else None
         if tag == "a":
             self.links += 1
+        self._end_open(tag)
         dropped = self._dropped(tag, dict(attrs))
         if tag in BLOCKS or dropped:
             if tag in BLOCKS and self.open and self.open[-1][0] == "p":
@@ -113,7 +124,27 @@ class Reader(HTMLParser):
         self.links = 0
         self._cut()
 
+    def _end_open(self, tag: str) -> None:
+        """Closes the elements whose end tag is left out before this start tag."""
+        at = None
+        if tag not in HEADING and self.open and self.open[-1][0] == "head" or tag == "body":
+            at = next((k for k, (name, *_) in enumerate(self.open) if name == "head"), None)
+        elif tag in ENDS:
+            for k in range(len(self.open) - 1, -1, -1):
+                name = self.open[k][0]
+                if name in ENDS[tag]:
+                    at = k
+                elif name in BEYOND[tag] if tag in BEYOND else name not in _PASSED:
+                    break
+        if at is not None:
+            while len(self.open) > at:
+                self.skipping -= self.open.pop()[2]
+            self.links = 0
+            self._cut()
+
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][0] == "head" and not data.isspace():
+            self._close("head")
         if not self.skipping:
             self.block.parts.append(data)
             if self.links:

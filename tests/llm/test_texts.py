@@ -34,6 +34,22 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<html><head><title>T</title><meta charset=x><body><p>{TEXT}</p></body></html>", TEXT.strip()),
+        (f"<head><title>T</title><script>x</script><div><p>{TEXT}</p></div>", TEXT.strip()),
+        (f"<head><title>T</title>{TEXT}", TEXT.strip()),
+        (f"<body><table><tr><td class=sidebar>Side<td><p>{TEXT}</p></table></body>", TEXT.strip()),
+        (f"<article><p>{TEXT}</p><ul><li class=hidden hidden>Buy<li>one<li>two</ul><dl><dt>a<dd hidden>x<dt>b<dd>c</dl></article>", f"{TEXT.strip()}\n\none\n\ntwo\n\na\n\nb\n\nc"),
+        (f"<body><datalist><option>a<option>b</datalist><p>{TEXT}</p></body>", TEXT.strip()),
+        (f"<article><p>{TEXT}</p><ul><li>one<ul><li>in</ul>out<li>two</ul></article>", f"{TEXT.strip()}\n\none\n\nin\n\nout\n\ntwo"),
+    ],
+)
+def test_optional_end_tags(page, text):
+    assert html.main_text(page) == text
+
+
 def test_smoothing_keeps_a_constant_and_spreads_a_peak():
     assert np.allclose(html.smooth(np.full(9, 3.0)), 3)
     spread = html.smooth(np.eye(1, 11, 5)[0])
