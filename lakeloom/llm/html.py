@@ -44,6 +44,8 @@ AROUND = frozenset(
     "respond disqus reply replies pagination pager copyright legal disclaimer skip toolbar hidden".split()
 )
 WITHIN = frozenset("content main article post entry story body text page prose container wrapper layout".split())
+# Inside an article or main the names count on these alone, and of a section its class and role, not its id.
+NAMED = CONTAINERS | frozenset("ul ol dl table".split())
 # Width of the Gaussian that smooths the ratios, in blocks.
 SIGMA = 1.0
 # A region's container is the innermost element that holds this share of the text found.
@@ -161,7 +163,12 @@ class Reader(HTMLParser):
             return False
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
             return True
-        named = set(_WORDS.findall(" ".join(attrs.get(k) or "" for k in ("class", "id", "role")).lower()))
+        keys = ("class", "id", "role")
+        if any(name in FRAMES for name, *_ in self.open):
+            if tag not in NAMED:
+                return False
+            keys = ("class", "role") if tag == "section" else keys
+        named = set(_WORDS.findall(" ".join(attrs.get(k) or "" for k in keys).lower()))
         return bool(named & AROUND) and not named & WITHIN
 
 
@@ -193,8 +200,8 @@ def select(blocks: list[Block]) -> list[Block]:
 
     Each block has its characters per tag; the smoothed ratios are split at half their mean into content and
     the rest. The region is the article or main element that holds most of the content found, or else the innermost
-    container that does, widened to outer containers that add few links and to content blocks next to it. Inside the region every block stays, but for low
-    blocks that consist of links.
+    container that does, widened to outer containers that add few links and to content blocks next to it. Inside an article or main every block stays,
+    inside another region all but low blocks that consist of links.
     """
     if not blocks:
         return []
@@ -227,7 +234,7 @@ def select(blocks: list[Block]) -> list[Block]:
         while last + 1 < len(blocks) and prose[last + 1]:
             last += 1
         inside[first : last + 1] |= prose[first : last + 1]
-    return [b for b, stays, dense in zip(blocks, inside, high) if stays and (dense or 2 * b.linked <= len(b.text))]
+    return [b for b, stays, dense in zip(blocks, inside, high) if stays and (region in frames or dense or 2 * b.linked <= len(b.text))]
 
 
 def main_text(html: str | None) -> str:

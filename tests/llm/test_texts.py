@@ -50,6 +50,14 @@ def test_optional_end_tags(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("frame", ["article", "main"])
+def test_nothing_else_of_an_article_is_dropped(frame):
+    links = "".join(f"<li class=share><a href=/{i}>Reference {i}</a></li>" for i in range(6))
+    inner = f"<h2 class='section-header'>One</h2><p class=notice>{TEXT}</p><section id='legal'><h2 id='social-impact'>Two</h2><p>{TEXT}</p></section>"
+    page = f"<nav><a>Home</a></nav><{frame}>{inner}<ul>{links}</ul><div class='share'>Tweet</div></{frame}><footer>c</footer>"
+    assert html.main_text(page).split("\n\n") == ["One", TEXT.strip(), "Two", TEXT.strip(), *[f"Reference {i}" for i in range(6)]]
+
+
 def test_smoothing_keeps_a_constant_and_spreads_a_peak():
     assert np.allclose(html.smooth(np.full(9, 3.0)), 3)
     spread = html.smooth(np.eye(1, 11, 5)[0])
