@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import embeddings, html, packing, pieces, quality_classifier, quality_rules, sharding, simhash, toxicity, warc
+from lakeloom.llm import embeddings, hard_negatives, html, packing, pieces, quality_classifier, quality_rules, sharding, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,3 +101,30 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
     return pieces.encode(table(spark, sf_dir, "documents"), vocabulary, with_ids=False)
+
+
+HARD = """
+WITH coded AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))), true)),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_dot_product(a.c, b.c) AS BIGINT) AS score
+  FROM coded a JOIN coded b ON a.vec_id <> b.vec_id AND len(a.c) = len(b.c) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+  n.other_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""
+
+
+@query("op11_hard_negatives", HARD)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
