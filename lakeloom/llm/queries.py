@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import embeddings, hard_negatives, html, packing, pieces, quality_classifier, quality_rules, sharding, simhash, toxicity, warc
+from lakeloom.llm import embeddings, hard_negatives, html, packing, pieces, quality_classifier, quality_rules, ranked_search, sharding, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -128,3 +128,25 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+_TERMS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+SEARCH = f"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+sized AS (SELECT * FROM docs WHERE len(terms) > 0),
+whole AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM sized),
+long AS (SELECT doc_id, r, 50 + (50 * len(terms) * n_docs) // n_terms AS m FROM sized, whole),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM sized) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, whole GROUP BY term, n_docs),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN long USING (r) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
+@query("op12_ranked_search", SEARCH)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)

@@ -13,27 +13,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows per Arrow batch. Spark's default of 10,000 puts very long texts into one buffer.
-BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
 # Functions of this package travel to the executors with the job; nothing has to be installed there.
 cloudpickle.register_pickle_by_value(importlib.import_module("lakeloom.llm"))
 
 
 def map_batches(df: DataFrame, work: Callable, schema: T.StructType | str, rows: int = 2000) -> DataFrame:
-    """``mapInArrow`` with at most ``rows`` rows per batch, whatever the session asks for above that.
+    """``mapInArrow``; ``work`` goes from an iterator of record batches of at most ``rows`` rows to an iterator of record batches.
 
-    ``work`` goes from an iterator of record batches to an iterator of record batches.
+    Spark ends a batch at 64 MB (``spark.sql.execution.arrow.maxBytesPerBatch``), so very long texts do not add up; the
+    settings of the session stay as they are.
     """
-    limit_batches(df, rows)
-    return df.mapInArrow(work, schema)
 
+    def sliced(batches: Batches) -> Batches:
+        return work(batch.slice(i, rows) for batch in batches for i in range(0, batch.num_rows, rows))
 
-def limit_batches(df: DataFrame, rows: int = 500) -> None:
-    """No more rows than these in one Arrow batch of the session, so that long texts do not add up."""
-    conf = df.sparkSession.conf
-    if int(conf.get(BATCH_ROWS)) > rows:
-        conf.set(BATCH_ROWS, str(rows))
+    return df.mapInArrow(sliced, schema)
 
 
 def arrow_schema(schema: T.StructType) -> pa.Schema:
