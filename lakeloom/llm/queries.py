@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import embeddings, hard_negatives, html, packing, pieces, quality_classifier, quality_rules, ranked_search, sharding, simhash, toxicity, warc
+from lakeloom.llm import embeddings, hard_negatives, html, packing, pieces, quality_classifier, quality_rules, ranked_search, sharding, simhash, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -150,3 +150,11 @@ FROM scores WHERE score > 0 QUALIFY rank <= 50
 @query("op12_ranked_search", SEARCH)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
+
+@query("op13_url_filter")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"), RULES)
