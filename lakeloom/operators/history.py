@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +12,8 @@ from lakeloom.operators.rows import as_number, equals_global_max, newest, rank_a
 from lakeloom.session import cut
 
 START, END = "__START_AT", "__END_AT"
+# Sequence of the newest row of a version; kept where later rows are to be spliced in.
+LAST = "__LAST_AT"
 
 
 def scd1(
@@ -46,6 +48,7 @@ def scd2(
     track_except: Sequence[str] = (),
     chunk: Column | None = None,
     ties: Sequence[str] = (),
+    with_last: bool = False,
 ) -> DataFrame:
     """Versions of each key: a new one starts where a tracked column changes.
 
@@ -55,7 +58,8 @@ def scd2(
 
     A key's rows are worked on in pieces, by default one of 128 with about equally many rows of the table. Changes are found inside (key, chunk) groups; one row per group
     then tells each chunk how the one before it ended; versions are put together by an aggregation
-    that works inside every task first. ``chunk`` must not decrease along the sequence.
+    that works inside every task first. ``chunk`` must not decrease along the sequence; without it the sequence is a number,
+    date or time. ``with_last`` adds the sequence of each version's newest row.
     """
     keys = list(keys)
     if ties:
@@ -145,11 +149,62 @@ def scd2(
     noted = versioned.filter(newest_here | closes).select(*keys, F.explode(notes).alias("_n"))
     return (
         noted.groupBy(*keys, F.col("_n.v").alias(START))
-        .agg(F.max_by("_n.p", "_n.s").alias("_payload"), F.max("_n.e").alias(END))
-        .select(*keys, *[F.col(f"_payload.`{c}`").alias(c) for c in plain], START, END)
+        .agg(F.max_by("_n.p", "_n.s").alias("_payload"), F.max("_n.e").alias(END), F.max("_n.s").alias(LAST))
+        .select(*keys, *[F.col(f"_payload.`{c}`").alias(c) for c in plain], START, END, *[LAST] * with_last)
     )
 
 
+def splice(
+    history: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str,
+    track_except: Sequence[str] = (),
+    seen: Callable[[], DataFrame] | None = None,
+) -> DataFrame:
+    """The history after a batch of change rows, equal to :func:`scd2` over all rows, late and repeated ones included.
+
+    ``history`` has the column ``LAST`` (``scd2(..., with_last=True)``), and so has the result. A key whose new rows all come
+    after its newest one needs its open version only. For other keys the versions from the one that holds the first new row
+    to the one after the last are built anew, from the rows of their time alone: ``seen`` gives all rows of earlier batches
+    and is called only if there are such keys. Versions outside are passed on as they are.
+    """
+    keys = list(keys)
+    key, seq = F.struct(*[F.col(f"`{k}`") for k in keys]).alias("_key"), F.col(f"`{sequence_by}`")
+    columns = [c for c in batch.columns if c != sequence_by]
+    fresh = cut(batch.distinct(), "fresh")
+    spans = fresh.groupBy(key).agg(F.min(seq).alias("_lo"), F.max(seq).alias("_hi"))
+    held = history.withColumn("_key", key)
+    start, last = F.col(START), F.col(LAST)
+    bounds = held.join(spans, "_key").groupBy("_key", "_lo", "_hi").agg(
+        F.max(F.when(start <= F.col("_lo"), start)).alias("_from"),
+        F.min(F.when(start > F.col("_hi"), start)).alias("_next"),
+        F.max(last).alias("_newest"),
+    )
+    bounds = bounds.select("_key", "_from", "_next", (F.col("_lo") <= F.col("_newest")).alias("_late"))
+    met = cut(held.join(bounds, "_key", "left"), "met")
+    inside = F.col("_late").isNotNull() & (F.col("_from").isNull() | (start >= F.col("_from"))) & (F.col("_next").isNull() | (start <= F.col("_next")))
+    windows = met.filter(inside)
+    # An open version stands for its rows where all new ones come later.
+    open_rows = windows.filter("not _late").select(*columns, start.alias(sequence_by))
+    rows = fresh.unionByName(open_rows)
+    late = windows.filter("_late").groupBy("_key").agg(F.first("_from").alias("_from"), F.max(F.struct(start.alias("s"), F.col(END).alias("e")))["e"].alias("_to"))
+    late = cut(late, "late")
+    if not late.isEmpty():
+        if seen is None:
+            raise ValueError("rows come late and the earlier ones are not given")
+        again = seen().withColumn("_key", key).join(late, "_key")
+        again = again.filter((F.col("_from").isNull() | (seq >= F.col("_from"))) & (F.col("_to").isNull() | (seq < F.col("_to"))))
+        rows = rows.unionByName(again.select(*fresh.columns)).distinct()
+    built = scd2(cut(rows, "rows"), keys, sequence_by, track_except, with_last=True).withColumn("_key", key)
+    carried = windows.filter("not _late").select("_key", F.col(START).alias("_start"), F.col(LAST).alias("_last"))
+    built = built.join(late.select("_key", "_to"), "_key", "left").join(carried, "_key", "left")
+    ended = F.coalesce(F.col(END), F.col("_to")).alias(END)
+    newest_row = F.when(start == F.col("_start"), F.greatest(last, F.col("_last"))).otherwise(last).alias(LAST)
+    plain = [c for c in columns if c not in keys]
+    return met.filter(~inside).select(*keys, *plain, START, END, LAST).union(built.select(*keys, *plain, START, ended, newest_row))
+
+
 def contiguous_snapshots(
     snapshots: DataFrame, version: str, start: object | None = None, on_gap: str = "stop"
 ) -> DataFrame:

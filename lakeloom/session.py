@@ -55,6 +55,44 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder in any store that Spark reaches; nothing happens where there is none."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+
+
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it does not exist."""
+    system, place = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in system.listStatus(place)) if system.exists(place) else []
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file; it appears under its name when it is complete."""
+    system, place = _file_system(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(path + ".draft")
+    out = system.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    system.delete(place, False)
+    system.rename(draft, place)
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    """What :func:`put_text` wrote."""
+    system, place = _file_system(spark, path)
+    source = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete what lies at the paths that :func:`scratch` gave out in this application; returns their number.
 
@@ -62,8 +100,7 @@ def clear_scratch(spark: SparkSession) -> int:
     """
     paths = _NAMED.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        delete_path(spark, path)
     return len(paths)
 
 

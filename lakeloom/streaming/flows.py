@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
-from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.functions.times import COMPACT_STAMP, stamp_in
-from lakeloom.operators.history import END, START, scd1, scd2
+from lakeloom.operators.history import scd1, scd2, splice
 from lakeloom.operators.quality import Rules, quarantine, watch
+from lakeloom.session import delete_path, get_text, names_below, put_text
 
 
 def file_stream(
@@ -119,86 +119,102 @@ def run_quarantine(
     run_batches(stream, each, checkpoint)
 
 
-# Pieces of the key space that an upserted table is stored in.
-BUCKETS = 64
+# Pieces of the key space that an upserted table starts with, and rows per piece beyond which their number doubles.
+BUCKETS, BUCKET_ROWS = 8, 1_000_000
 
 
 class UpsertedTable:
-    """Keyed state fed by streams, in buckets of the key's hash; a batch writes the buckets it touches anew.
+    """Keyed state fed by streams, in buckets of the key's hash; a batch writes each bucket it touches anew, as one file.
 
-    Every finished batch is a generation, numbered through all checkpoints. The log names the checkpoint and batch of
-    a generation, so a batch that runs again replaces its own generation, and a stream with a new checkpoint goes
-    on from the state it finds. Batches of one table must not run at the same time.
+    One small file names the state after a batch: the folder of each bucket, and per checkpoint the last batch that
+    went in. So a batch that is handed again is skipped, and a stream with a new checkpoint goes on from the state it
+    finds. A batch that dies leaves folders that no such file names; the next one replaces them. Folders whose
+    buckets were written anew are removed. Batches of one table must not run at the same time.
     """
 
-    LOG = "generation bigint, checkpoint string, batch bigint, buckets array<int>"
-
-    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS, bucket_rows: int = BUCKET_ROWS):
         self.spark = spark
         self.path = path
         self.buckets = buckets
-
-    def _log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self.LOG + ", run bigint").parquet(f"{self.path}/log").drop("run")
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return self.spark.createDataFrame([], self.LOG)
-
-    def _generation(self, checkpoint: str, batch: int) -> int:
-        log = self._log()
-        own = (F.col("checkpoint") == checkpoint) & (F.col("batch") == batch)
-        found = log.agg(F.max(F.when(own, F.col("generation"))), F.max("generation")).first()
-        return found[0] if found[0] is not None else 0 if found[1] is None else found[1] + 1
-
-    def _state(self, before: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
-        """The newest generation of each bucket, before a generation and among some buckets."""
-        rows = self._log() if before is None else self._log().filter(F.col("generation") < before)
-        latest = rows.select("generation", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.max("generation")).collect()
-        wanted = [(F.col("bucket") == b) & (F.col("generation") == g) for b, g in latest if buckets is None or b in buckets]
-        if not latest:
-            return None
-        # One condition per bucket on the folder names: only these folders are read.
-        held = reduce(Column.__or__, wanted, F.lit(False))
-        return self.spark.read.parquet(f"{self.path}/state").filter(held).drop("generation", "bucket")
+        self.bucket_rows = bucket_rows
+
+    def _names(self) -> list[str]:
+        return [n for n in names_below(self.spark, f"{self.path}/log") if n.endswith(".json")]
+
+    def _latest(self) -> dict:
+        names = self._names()
+        if names:
+            return json.loads(get_text(self.spark, f"{self.path}/log/{names[-1]}"))
+        return {"number": -1, "of": self.buckets, "folders": {}, "full": False, "schema": "", "sizes": [], "done": {}}
+
+    def _state(self, latest: dict, buckets: set[int] | None = None) -> DataFrame | None:
+        """The rows of some buckets, by default of all."""
+        paths = [f"{self.path}/state/{f}/bucket={b}" for b, f in latest["folders"].items() if buckets is None or int(b) in buckets]
+        return self.spark.read.schema(latest["schema"]).parquet(*paths) if paths else None
+
+    def _rows(self, latest: dict, buckets: set[int], kind: T.StructType) -> DataFrame:
+        """What earlier batches brought for some buckets; fewer buckets than now are buckets put together."""
+        found = self.spark.createDataFrame([], kind)
+        for size in latest["sizes"]:
+            part = self.spark.read.schema(T.StructType([*kind, *_PLACES])).parquet(f"{self.path}/rows/of={size}")
+            here = F.col("bucket").isin(sorted({b % size for b in buckets})) & (F.col("generation") <= latest["number"])
+            found = found.union(part.filter(here).select(*[F.col(f"`{f.name}`") for f in kind]))
+        return found
 
     def read(self) -> DataFrame:
         """The state after the last batch."""
-        state = self._state()
+        state = self._state(self._latest())
         if state is None:
             raise ValueError(f"no finished batch below {self.path}")
         return state
 
-    def _bucketed(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        return df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int"))
-
-    def _finish(self, state: DataFrame, keys: Sequence[str], number: int, checkpoint: str, batch: int, touched: list[int]) -> None:
-        folder = f"{self.path}/state/generation={number}"
-        self._bucketed(state, keys).write.mode("overwrite").partitionBy("bucket").parquet(folder)
-        row = self.spark.createDataFrame([(number, checkpoint, batch, touched)], self.LOG)
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/log/run={number}")
-
-    def _each(self, batch: DataFrame, keys: Sequence[str], checkpoint: str, batch_number: int, build) -> None:
+    def _write(self, df: DataFrame, keys: Sequence[str], of: int, folder: str) -> int:
+        """One file per bucket; the number of rows."""
+        counted = Observation()
+        placed = _bucketed(df, keys, of).repartition(of, "bucket").observe(counted, F.count(F.lit(1)).alias("rows"))
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{folder}")
+        return counted.get["rows"]
+
+    def _each(self, batch: DataFrame, keys: Sequence[str], checkpoint: str, batch_number: int, build, keep_rows: bool) -> None:
+        latest = self._latest()
+        if latest["done"].get(checkpoint, -1) >= batch_number:
+            return
+        number, of, gone = latest["number"] + 1, latest["of"], []
+        after = latest | {"number": number, "done": latest["done"] | {checkpoint: batch_number}}
         batch = batch.persist()
         try:
-            touched = sorted(r[0] for r in self._bucketed(batch, keys).select("bucket").distinct().collect())
+            touched = {r[0] for r in _bucketed(batch, keys, of).select("bucket").distinct().collect()}
             if touched:
-                number = self._generation(checkpoint, batch_number)
-                state = build(batch, self._state(number, touched), number, touched)
-                self._finish(state, keys, number, checkpoint, batch_number, touched)
+                # A state whose buckets are full is dealt to twice as many, all at once.
+                to, read = (2 * of, None) if latest["full"] else (of, touched)
+                state = build(batch, self._state(latest, read), lambda: self._rows(latest, touched, batch.schema))
+                if keep_rows:
+                    self._write(batch, keys, of, f"rows/of={of}/generation={number}")
+                folder = f"generation={number}"
+                written = self._write(state, keys, to, f"state/{folder}")
+                fresh = [n.partition("=")[2] for n in names_below(self.spark, f"{self.path}/state/{folder}") if n.startswith("bucket=")]
+                kept = {b: f for b, f in latest["folders"].items() if read is not None and int(b) not in read}
+                gone = [f"state/{f}/bucket={b}" for b, f in latest["folders"].items() if b not in kept]
+                after |= {
+                    "of": to, "folders": kept | dict.fromkeys(fresh, folder), "full": written > self.bucket_rows * len(fresh),
+                    "schema": _ddl(state.schema), "sizes": sorted({*latest["sizes"], *([of] if keep_rows else [])}),
+                }
         finally:
             batch.unpersist()
+        names = self._names()
+        put_text(self.spark, f"{self.path}/log/{number:012d}.json", json.dumps(after))
+        for name in [*(f"log/{n}" for n in names), *gone]:
+            delete_path(self.spark, f"{self.path}/{name}")
 
     def run_scd1(
         self, stream: DataFrame, keys: Sequence[str], sequence_by: str, checkpoint: str, ties: Sequence[str] = ()
     ) -> None:
         """Keep the row with the largest sequence per key; a late row never replaces a newer one."""
 
-        def build(batch: DataFrame, old: DataFrame | None, number: int, touched: list[int]) -> DataFrame:
+        def build(batch: DataFrame, old: DataFrame | None, seen: Callable[[], DataFrame]) -> DataFrame:
             return scd1(batch if old is None else old.unionByName(batch), keys, sequence_by, ties)
 
-        run_batches(stream, lambda batch, n: self._each(batch, keys, checkpoint, n, build), checkpoint)
+        run_batches(stream, lambda batch, n: self._each(batch, keys, checkpoint, n, build, False), checkpoint)
 
     def run_scd2(
         self,
@@ -208,20 +224,27 @@ class UpsertedTable:
         checkpoint: str,
         track_except: Sequence[str] = (),
     ) -> None:
-        """Keep the versions of each key. Only keys of the batch are built anew, from all their rows."""
+        """Keep the versions of each key, with ``LAST``, the sequence of a version's newest row.
+
+        Rows that come after all others of their key meet its open version alone; late ones are spliced in between the
+        versions around them, from the rows of that time, which are kept beside the state.
+        """
         keys = list(keys)
 
-        def build(batch: DataFrame, old: DataFrame | None, number: int, touched: list[int]) -> DataFrame:
-            folder = f"{self.path}/rows"
-            self._bucketed(batch, keys).write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/generation={number}")
-            seen = self.spark.read.parquet(folder).filter((F.col("generation") <= number) & F.col("bucket").isin(touched))
-            # A stream that starts anew brings rows again.
-            seen = seen.select(*batch.columns).distinct()
-            fresh_keys = batch.select(*keys).distinct()
-            fresh = scd2(seen.join(fresh_keys, keys, "left_semi"), keys, sequence_by, track_except)
-            if old is not None:
-                fresh = old.join(fresh_keys, keys, "left_anti").unionByName(fresh)
-            columns = [c for c in fresh.columns if c not in (START, END)] + [START, END]
-            return fresh.select(*columns)
-
-        run_batches(stream, lambda batch, n: self._each(batch, keys, checkpoint, n, build), checkpoint)
+        def build(batch: DataFrame, old: DataFrame | None, seen: Callable[[], DataFrame]) -> DataFrame:
+            if old is None:
+                return scd2(batch.distinct(), keys, sequence_by, track_except, with_last=True)
+            return splice(old, batch, keys, sequence_by, track_except, seen)
+
+        run_batches(stream, lambda batch, n: self._each(batch, keys, checkpoint, n, build, True), checkpoint)
+
+
+_PLACES = (T.StructField("generation", T.IntegerType()), T.StructField("bucket", T.IntegerType()))
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str], of: int) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(of)).cast("int"))
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
