@@ -23,18 +23,20 @@ def scd1(
     return newest(rows, keys, [F.col(c).desc() for c in (sequence_by, *ties)])
 
 
-# Pieces that a sequence is cut into by default.
-PIECES = 128
+# Pieces that a sequence is cut into at most, and the rows that a piece is worth.
+PIECES, PIECE_ROWS = 128, 1 << 16
 
 
-def default_chunk(rows: DataFrame, sequence_by: str, pieces: int = PIECES) -> Column:
+def default_chunk(rows: DataFrame, sequence_by: str, pieces: int = PIECES, piece_rows: int = 1) -> Column:
     """Order-keeping piece of the sequence, with about as many rows in each: the place among approximate quantiles.
 
-    The widths come from the data, so neither dense nor sparse sequences make one huge or very many pieces.
+    The widths come from the data, so neither dense nor sparse sequences make one huge or very many pieces; there are no more
+    pieces than ``piece_rows`` allow.
     """
     cuts = [i / pieces for i in range(1, pieces)]
-    bounds = rows.agg(F.percentile_approx(as_number(rows, sequence_by), cuts, 16 * pieces)).first()[0]
-    return rank_among("_sequence", bounds)
+    found = rows.agg(F.percentile_approx(as_number(rows, sequence_by), cuts, 16 * pieces), F.count(F.lit(1))).first()
+    step = max(1, pieces // max(1, -(-found[1] // piece_rows)))
+    return rank_among("_sequence", (found[0] or [])[step - 1 :: step])
 
 
 def _refused(why: str) -> Column:
@@ -56,7 +58,7 @@ def scd2(
     tracked hold the newest value of the version. Of rows with equal key and sequence the one with the largest
     ``ties`` counts; without ``ties`` such rows fail the job.
 
-    A key's rows are worked on in pieces, by default one of 128 with about equally many rows of the table. Changes are found inside (key, chunk) groups; one row per group
+    A key's rows are worked on in pieces, by default up to 128 with about equally many rows of the table. Changes are found inside (key, chunk) groups; one row per group
     then tells each chunk how the one before it ended; versions are put together by an aggregation
     that works inside every task first. ``chunk`` must not decrease along the sequence; without it the sequence is a number,
     date or time. ``with_last`` adds the sequence of each version's newest row.
@@ -70,7 +72,7 @@ def scd2(
     kind = rows.schema[sequence_by].dataType
     state = F.struct(*tracked)
     if chunk is None:
-        piece = default_chunk(rows, sequence_by)
+        piece = default_chunk(rows, sequence_by, piece_rows=PIECE_ROWS)
         chunked = rows.withColumn("_sequence", as_number(rows, sequence_by)).withColumn("_chunk", piece).drop("_sequence")
     else:
         chunked = rows.withColumn("_chunk", chunk)
