@@ -38,6 +38,36 @@ def _(t):
     return t.spark.read.parquet(f"{folder}/data")
 
 
+_DRIFT = """SELECT event_id, user_id, event_type, value, CASE
+    WHEN event_id % 5 = 1 THEN concat('{{"event_id":', CAST(event_id AS STRING), ',"user_id":', CAST(user_id AS STRING), ',"event_type":"', event_type, '","channel":"c', CAST(event_id % 3 AS STRING), '"}}')
+    WHEN event_id % 5 = 2 THEN concat('{{"event_id":', CAST(event_id AS STRING), ',"user_id":"u', CAST(user_id AS STRING), '","event_type":"', event_type, '","detail":{{"page":"p","rank":', CAST(event_id % 7 AS STRING), '}}}}')
+    WHEN event_id % 5 = 3 THEN concat('{{"event_id":', CAST(event_id AS STRING), ',"User_Id":', CAST(user_id AS STRING), ',"event_type":"', event_type, '","detail":{{"page":[1,2],"rank":3}}}}')
+    WHEN event_id % 500 = 4 THEN concat('no json ', CAST(event_id AS STRING))
+    ELSE concat('{{"event_id":', CAST(event_id AS STRING), ',"user_id":', CAST(user_id AS STRING), ',"event_type":"', event_type, '"}}') END AS value_line
+  FROM {events}""".replace("{{", "{").replace("}}", "}")
+
+
+@query(
+    "s14_rescued_fields",
+    """SELECT CASE WHEN event_id % 500 <> 4 THEN event_id END AS event_id,
+    CASE WHEN event_id % 5 NOT IN (2, 3) AND event_id % 500 <> 4 THEN user_id END AS user_id,
+    CASE WHEN event_id % 500 <> 4 THEN event_type END AS event_type,
+    CASE event_id % 5 WHEN 2 THEN event_id % 7 WHEN 3 THEN 3 END AS detail_rank,
+    CASE event_id % 5 WHEN 1 THEN '{"channel":"c' || (event_id % 3) || '"}'
+      WHEN 2 THEN '{"detail":{"page":"p"},"user_id":"u' || user_id || '"}'
+      WHEN 3 THEN '{"User_Id":' || user_id || ',"detail":{"page":[1,2]}}'
+      ELSE CASE WHEN event_id % 500 = 4 THEN '{"_corrupt_record":"no json ' || event_id || '"}' END END AS _rescued_data
+    FROM {events}""",
+)
+def _(t):
+    """Files of drifted JSON lines: new fields, other types, another spelling, nested ones, and lines that are no JSON."""
+    folder = t.scratch("drift")
+    t.sql(_DRIFT).select(F.col("value_line").alias("value")).write.text(folder)
+    declared = "event_id bigint, user_id bigint, event_type string, detail struct<rank:bigint>"
+    rows = _landed(t, T.json_stream(t.spark, folder, declared))
+    return rows.select("event_id", "user_id", "event_type", F.col("detail.rank").alias("detail_rank"), "_rescued_data")
+
+
 @query("s15_table_stream", "SELECT o_orderkey, o_custkey, o_totalprice FROM {orders}")
 def _(t):
     name = f"streamed_{uuid4().hex[:12]}"

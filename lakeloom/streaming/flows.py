@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.functions.rescue import RESCUED, rescued_columns, rescued_fields
 from lakeloom.functions.times import COMPACT_STAMP, stamp_in
 from lakeloom.operators.history import scd1, scd2, splice
 from lakeloom.operators.quality import Rules, quarantine, watch
@@ -31,6 +32,25 @@ def file_stream(
     return reader.parquet(path)
 
 
+def json_stream(
+    spark: SparkSession, path: str, schema: T.StructType | str, rescued: str = RESCUED, files_per_batch: int | None = None
+) -> DataFrame:
+    """New files of JSON lines, with the declared columns and ``rescued``, the text of all fields that do not fit them."""
+    reader = spark.readStream
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return rescued_fields(reader.text(path), schema, "value", rescued)
+
+
+def drifting_stream(spark: SparkSession, path: str, schema: T.StructType | str, rescued: str = RESCUED) -> DataFrame:
+    """New Parquet files with the declared columns; other columns that any file has as text in ``rescued``.
+
+    The columns of all files are looked up when the stream starts: a column that first comes while it runs is seen by the next run.
+    """
+    wide = spark.read.option("mergeSchema", True).parquet(path).schema
+    return rescued_columns(file_stream(spark, path, wide), schema, rescued)
+
+
 def run_to_files(
     stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
 ) -> None:
