@@ -92,16 +92,21 @@ def change_rows(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Dat
     deleted, never updated.
     """
     left = signed_counts(with_columns_of(after, before.schema), before).withColumn("_times", F.abs("_n"))
-    columns = [F.col(f"`{c}`") for c in before.columns]
+    return _paired(left, before.columns, list(keys), [])
+
+
+def _paired(left: DataFrame, names: Sequence[str], keys: Sequence[str], within: Sequence[str]) -> DataFrame:
+    """Rows that came (``_n`` above 0) and went, ``_times`` each, as changes per key and ``within``."""
+    columns = [F.col(f"`{c}`") for c in names]
 
     def note(kind: str, row: str) -> Column:
         return F.struct(F.lit(kind).alias("kind"), F.col(row).alias("row"))
 
     known = _known(keys)
     kind = F.when(F.col("_n") > 0, "insert").otherwise("delete")
-    free = copies(left.filter(~known).withColumn(CHANGE, kind), "_times", "_copy").select(*columns, CHANGE)
+    free = copies(left.filter(~known).withColumn(CHANGE, kind), "_times", "_copy").select(*columns, CHANGE, *within)
     row = F.struct(*columns)
-    paired = left.filter(known).groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+    paired = left.filter(known).groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], *within).agg(
         F.first(F.when(F.col("_n") < 0, row), ignorenulls=True).alias("_old"),
         F.first(F.when(F.col("_n") > 0, row), ignorenulls=True).alias("_new"),
         F.sum(F.when(F.col("_n") < 0, F.col("_times"))).alias("_olds"),
@@ -115,10 +120,53 @@ def change_rows(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Dat
         .when(F.col("_new").isNull(), F.array(note("delete", "_old")))
         .otherwise(F.array(note("update_preimage", "_old"), note("update_postimage", "_new")))
     )
-    noted = paired.select(F.explode(notes).alias("_n")).select("_n.row.*", F.col("_n.kind").alias(CHANGE))
+    noted = paired.select(F.explode(notes).alias("_n"), *within).select("_n.row.*", F.col("_n.kind").alias(CHANGE), *within)
     return noted.union(free)
 
 
+# States that one aggregation counts side by side.
+RUN = 32
+
+
+def states_of_rows(states: Sequence[DataFrame]) -> DataFrame:
+    """Distinct rows with ``_times``, how often each state holds them, in the order of the states.
+
+    Every state is read once and all meet in one aggregation, which works inside every task first. Columns that a state lacks are NULL.
+    """
+    wide = reduce(lambda a, b: a.unionByName(b.limit(0), allowMissingColumns=True), states).schema
+    tagged = [with_columns_of(df, wide).withColumn("_state", F.lit(i)) for i, df in enumerate(states)]
+    every = reduce(DataFrame.union, tagged)
+    times = [F.count_if(F.col("_state") == i) for i in range(len(states))]
+    return every.groupBy(*[F.col(f"`{f.name}`") for f in wide]).agg(F.array(*times).alias("_times"))
+
+
+def change_feed(states: Mapping[int, DataFrame], keys: Sequence[str], times: Mapping[int, str] | None = None) -> DataFrame:
+    """Changes from each state to the next: columns, kind, ``_commit_version`` and, with ``times``, ``_commit_timestamp``.
+
+    ``states`` are numbered; changes carry the number of the later state. A row whose count differs between neighbours has
+    come or gone there; only such rows go on to be paired by key and state. Rules are those of :func:`change_rows`: copies
+    of a row cancel, what is left of a key is one row per state at most, and rows with a NULL in their key are inserted or deleted.
+    """
+    numbers, keys = sorted(states), list(keys)
+    feeds = [_feed({n: states[n] for n in numbers[at : at + RUN + 1]}, keys) for at in range(0, max(1, len(numbers) - 1), RUN)]
+    feed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
+    if times is None:
+        return feed
+    stamp = F.element_at(F.create_map(*[x for n in numbers for x in (F.lit(n), F.lit(times[n]).cast("timestamp"))]), F.col(COMMIT))
+    return feed.withColumn(COMMIT_TIME, stamp)
+
+
+def _feed(states: Mapping[int, DataFrame], keys: list[str]) -> DataFrame:
+    numbers = list(states)
+    rows = states_of_rows([states[n] for n in numbers])
+    columns = [F.col(f"`{c}`") for c in rows.columns if c != "_times"]
+    at = lambda i: F.col("_times")[i]
+    flips = F.array(*[F.struct(F.lit(numbers[i]).alias("n"), (at(i) - at(i - 1)).alias("d")) for i in range(1, len(numbers))])
+    moved = rows.withColumn("_flip", F.explode(F.filter(flips, lambda f: f["d"] != 0)) if len(numbers) > 1 else F.explode(F.array().cast("array<struct<n:int,d:bigint>>")))
+    moved = moved.select(*columns, F.col("_flip.n").alias(COMMIT), F.col("_flip.d").alias("_n"), F.abs("_flip.d").alias("_times"))
+    return _paired(moved, [c for c in moved.columns if c not in (COMMIT, "_n", "_times")], keys, [COMMIT])
+
+
 def apply_changes(df: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The state after a change feed: touched keys leave, inserted rows and postimages come."""
     touched = changes.select(*keys).distinct()
@@ -248,12 +296,10 @@ class VersionedTable:
         last = latest if last is None else last
         if not 0 <= first <= last <= latest:
             raise ValueError(f"no versions {first} to {last}: the latest is {latest}")
-        feeds = []
-        for version in range(first, last + 1):
-            after = self.read(version)
-            before = self.read(version - 1) if version > 0 else after.limit(0)
-            feeds.append(change_rows(with_columns_of(before, after.schema), after, keys).withColumn(COMMIT, F.lit(version)))
-        feed = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
+        states = {v: self.read(v) for v in range(max(first - 1, 0), last + 1)}
+        if first == 0:
+            states[-1] = states[0].limit(0)
+        feed = change_feed(states, keys)
         times = self.log().select(F.col("version").alias(COMMIT), F.col("committed_at").alias(COMMIT_TIME))
         return feed.join(times, COMMIT)
 

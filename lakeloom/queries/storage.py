@@ -414,14 +414,25 @@ def _(t):
     return _history(t, 3).read_at("2024-05-03 11:59:59")
 
 
+def _states(t, last=3):
+    """The orders and what update, delete and merge make of them, as plain frames."""
+    states = {0: t.orders}
+    steps = (_update, _delete, lambda df: V.merge(df, _source(t), ["o_orderkey"]))
+    for n, step in enumerate(steps[:last], 1):
+        states[n] = step(states[n - 1])
+    return states
+
+
 @query("m7_version_diff", _VERSIONS + " SELECT * FROM v1 EXCEPT ALL SELECT * FROM v0")
 def _(t):
-    return _history(t, 2).added(0, 1)
+    states = _states(t, 1)
+    return states[1].exceptAll(states[0])
 
 
 @query("m7_version_diff_distinct", _VERSIONS + " SELECT * FROM v3 EXCEPT SELECT * FROM v1")
 def _(t):
-    return _history(t).added(1, 3, distinct=True)
+    states = _states(t)
+    return states[3].subtract(states[1])
 
 
 @query("m8_restore", _VERSIONS + " SELECT * FROM v0")
@@ -441,7 +452,7 @@ def _feed_sql(number, old, new):
 
 @query("m9_change_feed", _VERSIONS + " " + " UNION ALL ".join(_feed_sql(n, f"v{n - 1}", f"v{n}") for n in (1, 2, 3)))
 def _(t):
-    return _history(t).changes(["o_orderkey"], 1)
+    return V.change_feed(_states(t), ["o_orderkey"], dict(enumerate(_AT)))
 
 
 @query(

@@ -180,3 +180,36 @@ def test_texts_with_a_common_start_are_clustered(spark):
     spans = placed.groupBy("part").agg(F.countDistinct("url").alias("u"), (F.max("n") - F.min("n")).alias("n"),
                                        (F.max(F.substring("url", -6, 6)).cast("int") - F.min(F.substring("url", -6, 6)).cast("int")).alias("u_span")).collect()
     assert sum(r.n for r in spans) / len(spans) < 10_000 and sum(r.u_span for r in spans) / len(spans) < 10_000
+
+
+def test_one_pass_feed_equals_state_by_state(spark, monkeypatch):
+    """Copies, NULL keys, rows that come back, added columns; runs of any length give the same feed."""
+    import random
+
+    r = random.Random(9)
+    kind = "id int, x string"
+    states = {}
+    for n in range(6):
+        rows_ = [(k, r.choice("ab")) for k in range(8) if r.random() < 0.7] + [(None, r.choice("ab")) for _ in range(r.randint(0, 3))]
+        states[n] = spark.createDataFrame(rows_ + rows_[:2] if n % 2 else rows_, kind).dropDuplicates(["id", "x"]) if n % 2 else spark.createDataFrame(rows_, kind)
+    states[5] = states[5].withColumn("more", F.lit("m"))
+    want = []
+    for n in range(1, 6):
+        before = states[n - 1] if n < 5 else states[n - 1].withColumn("more", F.lit(None).cast("string"))
+        made = V.change_rows(before, states[n], ["id"])
+        want += [(*(tuple(x)[:2]), x["more"] if n == 5 else None, x[V.CHANGE], n) for x in made.collect()]
+    for run in (32, 2):
+        monkeypatch.setattr(V, "RUN", run)
+        feed = V.change_feed(states, ["id"], {n: AT[n] for n in range(6)})
+        got = [(x.id, x.x, x["more"], x[V.CHANGE], x[V.COMMIT]) for x in feed.collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert V.change_feed({0: states[0]}, ["id"]).count() == 0
+    plan = V.change_feed({n: states[n] for n in range(5)}, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_copies_of_a_row_that_come_and_go(spark):
+    kind = "id int, x string"
+    one, three = spark.createDataFrame([(1, "a")], kind), spark.createDataFrame([(1, "a")] * 3 + [(None, "n")] * 2, kind)
+    with pytest.raises(Exception, match="more than once"):
+        V.change_feed({0: one, 1: three}, ["id"]).collect()
