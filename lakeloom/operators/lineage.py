@@ -40,8 +40,8 @@ def latest_edges(
     ends = [SOURCE, TARGET] + ([SOURCE_COLUMN, TARGET_COLUMN] if by_column else [])
     if prefix is not None:
         edges = edges.filter(F.col(TARGET).startswith(prefix))
-    # Both sides of the join below, and all stages above, read these reduced rows.
-    newest_per_edge = edges.groupBy(*ends).agg(F.max(DAY).alias(DAY))
+    # The log is read once; both sides of the join below, and all stages above, read these reduced rows.
+    newest_per_edge = cut(edges.groupBy(*ends).agg(F.max(DAY).alias(DAY)), "newest")
     newest_per_target = newest_per_edge.groupBy(TARGET).agg(F.max(DAY).alias(DAY))
     usable = F.col(SOURCE) != F.col(TARGET)
     if by_column:
@@ -123,7 +123,7 @@ def recursive_lineage(
     start: str,
     max_depth: int = 10,
     day: object | None = None,
-    levels_per_round: int = 3,
+    levels_per_round: int = 5,
 ) -> DataFrame:
     """All edges upstream of ``start``, each table expanded at its smallest depth.
 
