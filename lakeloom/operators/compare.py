@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.operators.filters import without_audit_columns
-from lakeloom.operators.rows import as_number, copies, running_offset
+from lakeloom.operators.rows import copies, running_offset
+from lakeloom.session import cut
 
 # Relative and absolute tolerance for floating-point columns.
 RTOL, ATOL = 1e-5, 1e-8
@@ -71,17 +72,6 @@ def _close(a: Column, b: Column, rtol: float, atol: float) -> Column:
     return F.coalesce(a.eqNullSafe(b) | near, F.lit(False))
 
 
-def _piece(df: DataFrame, name: str) -> Column:
-    """A coarse, order-keeping piece of a column; rows that differ much fall into different pieces."""
-    kind, column = df.schema[name].dataType, F.col(f"`{name}`")
-    if isinstance(kind, T.StringType):
-        return F.substring(column, 1, 2)
-    if isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        number = as_number(df, name)
-        return F.floor(F.signum(number) * F.log2(F.lit(1) + F.abs(number)) * 64)
-    return F.lit(0)
-
-
 def compare_keyed(
     source: DataFrame,
     target: DataFrame,
@@ -104,10 +94,12 @@ def compare_keyed(
     values = [c for c in a.columns if c not in keys]
     left_over = signed_counts(a, b)
     distinct_rows = left_over.withColumn("_source", F.col("_n") > 0).withColumn("_n", F.abs("_n"))
-    # An order-keeping piece of the first value column, so rows of one key are numbered in pieces.
+    # Rows of one key are numbered in pieces: ranges of keys and values with about equally many rows each, found by Spark
+    # from a sample of the rows. A key that owns many rows lies in many pieces, whatever its values look like.
     first = next((c for c in values if c in floats), values[0] if values else None)
-    pieces = distinct_rows.withColumn("_piece", _piece(a, first) if first else F.lit(0))
     order = ([first] if first else []) + [c for c in values if c != first] or keys
+    ranged = distinct_rows.repartitionByRange(*[F.col(f"`{c}`") for c in dict.fromkeys([*keys, *order])])
+    pieces = cut(ranged.withColumn("_piece", F.spark_partition_id()), "pieces")
     placed = running_offset(pieces, "_piece", order, F.col("_n"), "_place", ["_source", *keys])
     # Copies of a row take the places from its offset on.
     numbered = copies(placed, "_n", "_copy").withColumn("_number", F.col("_place") + F.col("_copy") + 1)

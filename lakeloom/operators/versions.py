@@ -201,25 +201,35 @@ def clustered(df: DataFrame, first: str, second: str, partitions: int, bits: int
     texts by their place among all values, whole values compared. The ranks' bits are interleaved and the rows
     range-partitioned by the result, then by a digest, which splits a frequent pair. NULL ranks first.
     """
-    # 63 numbers per column reach the driver, whatever the size of the table.
+    # 63 numbers per column reach the driver, whatever the size of the table; one aggregation gives those of both.
     cuts, accuracy = [i / 2**bits for i in range(1, 2**bits)], 2 ** (bits + 4)
+    texts = [c for c in (first, second) if isinstance(df.schema[c].dataType, T.StringType)]
+    numbers = {mark: as_number(df, c) for mark, c in (("_x", first), ("_y", second)) if c not in texts}
+    bounds = df.agg(*[F.percentile_approx(n, cuts, accuracy).alias(mark) for mark, n in numbers.items()]).first() if numbers else {}
     placed = df
     for mark, name in (("_x", first), ("_y", second)):
-        if isinstance(df.schema[name].dataType, T.StringType):
+        if name in texts:
             ranks = _text_ranks(df, name, 2**bits).withColumnsRenamed({"_value": f"_value{mark}", "_rank": mark})
             placed = placed.join(ranks, F.col(f"`{name}`") == F.col(f"_value{mark}"), "left").drop(f"_value{mark}")
             placed = placed.withColumn(mark, F.coalesce(mark, F.lit(0)))
         else:
-            number = as_number(df, name)
-            bounds = df.agg(F.percentile_approx(number, cuts, accuracy)).first()[0]
-            placed = placed.withColumn(mark, number).withColumn(mark, rank_among(mark, bounds))
+            placed = placed.withColumn(mark, numbers[mark]).withColumn(mark, rank_among(mark, bounds[mark]))
     curve = spread_bits(F.col("_x"), bits).bitwiseOR(F.shiftleft(spread_bits(F.col("_y"), bits), 1))
-    return (
-        placed.withColumn("_z", curve)
-        .repartitionByRange(partitions, "_z", first, second, F.xxhash64(*df.columns))
-        .sortWithinPartitions("_z")
-        .drop("_x", "_y", "_z")
-    )
+    # One number is the sort key: the place on the curve, and below it a digest that splits a frequent pair.
+    key = F.shiftleft(curve.cast("bigint"), 40).bitwiseOR(F.shiftrightunsigned(F.xxhash64(*df.columns), 24))
+    return placed.withColumn("_z", key).repartitionByRange(partitions, "_z").sortWithinPartitions("_z").drop("_x", "_y", "_z")
+
+
+def touched_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: per column the share of the files that a filter on one of its values has to read, on average over the range.
+
+    Found from the smallest and largest value in each file, as Spark's readers see them. 1 means that the layout does not help.
+    """
+    file = F.col("_metadata.file_path").alias("_file")
+    numbers = df.select(file, *[as_number(df, c).alias(c) for c in columns])
+    ranges = numbers.groupBy("_file").agg(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in columns])
+    share = lambda c: F.avg(F.col(f"{c}.hi") - F.col(f"{c}.lo")) / (F.max(f"{c}.hi") - F.min(f"{c}.lo"))
+    return ranges.agg(*[F.coalesce(share(c), F.lit(1.0)).alias(c) for c in columns])
 
 
 class VersionedTable:

@@ -147,10 +147,21 @@ def _(t):
     return Q.expect(t.sql(ORDERS_WITH_HOLES), _rules(), "drop").rows
 
 
-@query("q1_expect_fail", "SELECT * FROM {orders}")
+@query(
+    "q1_expect_fail",
+    f"""SELECT *, CASE WHEN EXISTS (SELECT 1 FROM ({ORDERS_WITH_HOLES}) o WHERE o_custkey IS NULL) THEN 'has_customer' END AS stopped_by FROM {{orders}}""",
+)
 def _(t):
-    """Rules that hold for all rows: nothing fails and all rows come through."""
-    return Q.expect(t.orders, {"has_key": F.col("o_orderkey").isNotNull(), "price": F.col("o_totalprice") >= 0}, "fail").rows
+    """Rules that hold let all rows through; a table with holes stops the job, which names the rule."""
+    rows = Q.expect(t.orders, {"has_key": F.col("o_orderkey").isNotNull(), "price": F.col("o_totalprice") >= 0}, "fail").rows
+    stopped = None
+    try:
+        Q.expect(t.sql(ORDERS_WITH_HOLES), {"has_customer": F.col("o_custkey").isNotNull()}, "fail").rows.write.format("noop").mode("overwrite").save()
+    except Exception as error:  # the task's message is the result; anything else is raised
+        if "expectation failed: has_customer" not in str(error):
+            raise
+        stopped = "has_customer"
+    return rows.withColumn("stopped_by", F.lit(stopped).cast("string"))
 
 
 @query(

@@ -94,11 +94,14 @@ _ROI_COLUMNS = """CASE WHEN user_id % 4 <> 0 THEN {times} END AS roi_times, CASE
   CASE WHEN user_id % 4 <> 0 THEN {percent} END AS roi_percentage"""
 
 
+_USER = "CAST(substr(name, 2) AS BIGINT)"
+
+
 @query(
     "h1_markets_silver",
-    "SELECT event_id, event_type AS id, value AS current_price, "
-    + _ROI_COLUMNS.format(times="CAST(user_id AS STRING) || '.5'", percent="CAST(user_id % 7 AS STRING)")
-    + """, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS load_timestamp, CAST(ts AS DATE) AS date, true AS has_file FROM {events}""",
+    "SELECT * EXCLUDE (roi), "
+    + _ROI_COLUMNS.format(times=f"CAST({_USER} AS STRING) || '.5'", percent=f"CAST({_USER} % 7 AS STRING)").replace("user_id", _USER)
+    + f""", CAST(CAST(ts AS DATE) AS TIMESTAMP) AS load_timestamp, CAST(ts AS DATE) AS date, true AS has_file FROM ({_MARKETS}) m""",
 )
 def _(t):
     """Market rows are written to one folder per load; the load time comes back out of the path."""
@@ -106,22 +109,19 @@ def _(t):
     stamp = F.date_format(F.to_date("ts"), "yyyyMMdd'T'HHmmss'Z'")
     t.sql(_MARKETS).withColumn("load", stamp).write.partitionBy("load").parquet(folder)
     bronze = t.spark.read.parquet(folder).select("*", "_metadata")
-    return medallion.markets_silver(bronze).select(
-        "event_id", "id", "current_price", "roi_times", "roi_currency", "roi_percentage", "load_timestamp", "date",
-        F.col("file_name").endswith(".parquet").alias("has_file"),
-    )
+    silver = medallion.markets_silver(bronze)
+    has_file = F.col("file_name").endswith(".parquet") & F.col("file_path").endswith(F.col("file_name")) & F.col("file_modification_time").isNotNull()
+    return silver.withColumn("has_file", has_file).drop("load", "file_name", "file_path", "file_modification_time")
 
 
 @query(
     "h2_markets_silver_typed",
-    "SELECT event_id, event_type AS id, value AS current_price, "
-    + _ROI_COLUMNS.format(times="CAST(user_id + 0.5 AS DOUBLE)", percent="CAST(user_id % 7 AS DOUBLE)")
-    + " FROM {events}",
+    "SELECT * EXCLUDE (roi), "
+    + _ROI_COLUMNS.format(times=f"CAST({_USER} + 0.5 AS DOUBLE)", percent=f"CAST({_USER} % 7 AS DOUBLE)").replace("user_id", _USER)
+    + f" FROM ({_MARKETS}) m",
 )
 def _(t):
-    return medallion.markets_silver_typed(t.sql(_MARKETS)).select(
-        "event_id", "id", "current_price", "roi_times", "roi_currency", "roi_percentage"
-    )
+    return medallion.markets_silver_typed(t.sql(_MARKETS))
 
 
 def _coins(t):

@@ -1,5 +1,6 @@
 """Queries on sources, sinks and versioned tables."""
 
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Row
@@ -80,9 +81,8 @@ def _(t):
 @query("s6_sql_on_files", "SELECT o_orderstatus, count(*) AS n FROM {orders} GROUP BY 1")
 def _(t):
     folder = _orders_as_csv(t, True)
-    whole = S.read_files(t.spark, f"{folder}/*.csv", "csv", header=True)
-    whole.createOrReplaceTempView("orders_csv")
-    return t.spark.sql("SELECT o_orderstatus, count(*) AS n FROM orders_csv GROUP BY o_orderstatus")
+    text = "SELECT o_orderstatus, count(*) AS n FROM {files} GROUP BY o_orderstatus"
+    return S.sql_on_files(t.spark, text, f"{folder}/*.csv", "csv", header=True)
 
 
 @query("s7_named_table", "SELECT * FROM {supplier}")
@@ -180,39 +180,48 @@ def _(t):
     return S.one_partition(t.spark, _orders_by_month(t), year=1998, month=3)
 
 
-@query(
-    "s16_file_listing",
-    "SELECT name || '.parquet' AS name, true AS has_size, true AS has_time FROM (VALUES "
-    + ", ".join(f"('{n}')" for n in TABLES)
-    + ") v(name)",
-)
+_ROWS_OF = " UNION ALL ".join(f"SELECT '{n}.parquet' AS name, count(*) AS rows FROM {{{n}}}" for n in TABLES)
+
+
+def _scanned(t):
+    """The files of all tables, with their rows; the table's path is cut from the file's."""
+    listed = [S.scanned_files(getattr(t, n).select()).withColumn("table", F.lit(f"{n}.parquet")) for n in TABLES]
+    files = reduce(DataFrame.union, listed)
+    return files.withColumn("file", F.expr("concat(table, substring_index(path, table, -1))"))
+
+
+@query("s16_file_listing", f"SELECT name, rows, true AS has_size, true AS has_time FROM ({_ROWS_OF}) x")
 def _(t):
-    return S.file_listing(t.spark, t.folder, "*.parquet").select(
-        "name", (F.col("size") > 0).alias("has_size"), F.col("modified").isNotNull().alias("has_time")
-    )
+    """Every file of the tables with its rows; files of a folder are listed by their place in it."""
+    found = _scanned(t)
+    return found.select(F.col("file").alias("name"), "rows", (F.col("size") > 0).alias("has_size"), F.col("modified").isNotNull().alias("has_time"))
 
 
-@query("s17_folder_sizes", f"SELECT CAST({len(TABLES)} AS BIGINT) AS files, true AS has_bytes")
+@query(
+    "s17_folder_sizes",
+    "SELECT year(o_orderdate) AS year, count(DISTINCT month(o_orderdate)) AS months, count(*) AS rows, true AS has_bytes FROM {orders} GROUP BY 1",
+)
 def _(t):
-    return S.folder_sizes(S.file_listing(t.spark, t.folder, "*.parquet")).select(
-        "files", (F.col("bytes") > 0).alias("has_bytes")
-    )
+    """Files, rows and bytes of the yearly folders of the orders, counted by the scan that reads them."""
+    found = S.scanned_files(t.spark.read.parquet(_orders_by_month(t)).select())
+    year = F.regexp_extract("path", "/year=([0-9]+)/", 1).cast("bigint").alias("year")
+    month = F.regexp_extract("path", "/month=([0-9]+)/", 1)
+    sums = found.groupBy(year).agg(F.countDistinct(month).alias("months"), F.sum("rows").alias("rows"), F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("files"))
+    return sums.select("year", "months", "rows", ((F.col("bytes") > 0) & (F.col("files") >= F.col("months"))).alias("has_bytes"))
 
 
 @query(
     "n5_manifest_diff",
-    "SELECT name || '.parquet' AS file, CASE name WHEN 'nation' THEN 'missing' WHEN 'orders' THEN 'resized' ELSE 'same' END AS status FROM (VALUES "
-    + ", ".join(f"('{n}')" for n in TABLES)
-    + ") v(name)",
+    f"""SELECT name AS file, rows, CASE name WHEN 'nation.parquet' THEN 'missing' WHEN 'orders.parquet' THEN 'resized' ELSE 'same' END AS status
+    FROM ({_ROWS_OF}) x""",
 )
 def _(t):
-    """The test folder against a copy's manifest that lacks one file and has another size for one."""
-    root = F.regexp_replace("path", "/[^/]*$", "/")
-    manifest = S.file_listing(t.spark, t.folder, "*.parquet").select(S.relative_to(root, F.col("path")).alias("file"), "size")
+    """The files of the tables against a copy's manifest that lacks one file and has another size for one."""
+    manifest = _scanned(t).select("file", "size", "rows")
     copy = manifest.filter(F.col("file") != "nation.parquet").withColumn(
         "size", F.col("size") + (F.col("file") == "orders.parquet").cast("int")
     )
-    return S.manifest_diff(manifest, copy).select("file", "status")
+    return S.manifest_diff(manifest, copy).select("file", "status").join(manifest.select("file", "rows"), "file")
 
 
 @query("k1_write_folders", "SELECT *, CAST(year(o_orderdate) AS INT) AS year FROM {orders}")
@@ -317,12 +326,12 @@ def _(t):
 
 @query(
     "k14_flagged_folders",
-    "SELECT o_orderkey, o_custkey, o_totalprice, o_totalprice < 50000 AS is_quarantined FROM {orders} WHERE o_totalprice < 50000",
+    "SELECT o_orderkey, o_custkey, o_totalprice, o_totalprice < 50000 AS is_quarantined FROM {orders}",
 )
 def _(t):
     rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
     flagged = K.write_flagged(rows, t.scratch("flagged"), "is_quarantined", F.col("o_totalprice") < 50000)
-    return flagged.filter("is_quarantined")
+    return flagged.filter("is_quarantined").union(flagged.filter("NOT is_quarantined"))
 
 
 @query("k15_sorted_rewrite", "SELECT o_orderkey, o_orderdate FROM {orders}")
@@ -487,9 +496,13 @@ def _(t):
     return table.read().withColumn("fewer_files", F.lit(counts["after"] < counts["before"]))
 
 
-@query("m13_clustered_layout", "SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate FROM {lineitem}")
+@query("m13_clustered_layout", "SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate, true AS few_by_first, true AS few_by_second FROM {lineitem}")
 def _(t):
+    """The rows, and whether a filter on either column leaves out a good part of the files, by their smallest and largest values."""
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
     folder = t.scratch("clustered")
     V.clustered(rows, "l_suppkey", "l_shipdate", 8).write.parquet(folder)
-    return t.spark.read.parquet(folder)
+    laid = t.spark.read.parquet(folder)
+    touched = V.touched_shares(laid, ["l_suppkey", "l_shipdate"])
+    few = lambda c: (touched.select(c).scalar() < 0.75)
+    return laid.withColumns({"few_by_first": few("l_suppkey"), "few_by_second": few("l_shipdate")})

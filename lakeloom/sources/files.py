@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,6 +72,31 @@ def file_listing(
     )
 
 
+def sql_on_files(spark: SparkSession, query: str, path: str, fmt: str, **options: object) -> DataFrame:
+    """SQL straight over a file path: ``{files}`` in the text stands for the rows of the files.
+
+    Path, format and options are part of a statement of its own; its name is used once and gone when the plan is made.
+    """
+    name = f"files_{uuid4().hex[:12]}"
+    given = ", ".join(f"{quoted(k)} {quoted(v)}" for k, v in {"path": path, **options}.items())
+    spark.sql(f"CREATE TEMPORARY VIEW {name} USING {fmt} OPTIONS ({given})")
+    try:
+        return spark.sql(query.replace("{files}", name))
+    finally:
+        spark.catalog.dropTempView(name)
+
+
+def quoted(value: object) -> str:
+    text = str(value).lower() if isinstance(value, bool) else str(value)
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def scanned_files(df: DataFrame) -> DataFrame:
+    """Path, name, size, time and number of rows of every file that a scan reads, grouped in its tasks."""
+    meta = {"path": "file_path", "name": "file_name", "size": "file_size", "modified": "file_modification_time"}
+    return df.groupBy(*[F.col(f"_metadata.{m}").alias(n) for n, m in meta.items()]).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def folder_sizes(listing: DataFrame) -> DataFrame:
     """Files and bytes per folder."""
     folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")

@@ -107,3 +107,26 @@ def test_only_floats_without_keys_is_refused(spark):
     df = spark.createDataFrame([(1.0,)], "x double")
     with pytest.raises(ValueError):
         C.compare_keyed(df, df)
+
+
+def test_rows_of_a_heavy_key_lie_in_many_pieces(spark, monkeypatch):
+    """One key, values with a long common start and of a type that is no number: no piece holds a large share of them."""
+    sizes = []
+    plain = C.cut
+
+    def spied(df, name="cut"):
+        made = plain(df, name)
+        if name == "pieces":
+            sizes.extend(r["count"] for r in made.groupBy("_piece").count().collect())
+        return made
+
+    monkeypatch.setattr(C, "cut", spied)
+    rows_ = spark.range(8000).select(F.lit(1).alias("k"), F.concat(F.lit("https://example.org/"), F.lpad(F.col("id").cast("string"), 9, "0")).cast("binary").alias("b"))
+    other = rows_.withColumn("b", F.concat("b", F.lit("x").cast("binary")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = C.compare_keyed(rows_, other, ["k"])
+        assert got.count() == 8000 and {r[0] for r in got.select("status").distinct().collect()} == {"changed"}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 16000 and len(sizes) >= 8 and max(sizes) < 16000 / 3

@@ -127,3 +127,19 @@ def test_fan_out_keeps_codes_as_text(spark):
     got = tables.fan_out(df, "code", scratch(spark, "fan"))
     assert sorted((r.code, r.n, r.part_of) for r in got.collect()) == [("007", 1, "007"), ("12", 2, "12"), ("a b", 3, "a_b")]
     assert tables.quoted("it's \\") == "'it\\'s \\\\'"
+
+
+def test_sql_on_a_path_leaves_no_name_behind(spark):
+    folder = S.scratch(spark, "it's csv")
+    spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "id int, x string").write.option("header", True).csv(folder)
+    before = {v.name for v in spark.catalog.listTables()}
+    got = files.sql_on_files(spark, "SELECT x, count(*) AS n FROM {files} GROUP BY x", folder, "csv", header=True)
+    assert rows(got) == [("a", 1), ("b", 2)] and {v.name for v in spark.catalog.listTables()} == before
+
+
+def test_files_of_a_scan_are_counted_by_path(spark):
+    folder = S.scratch(spark, "parts")
+    for day in ("a", "b"):
+        spark.range(5 if day == "a" else 7).coalesce(1).write.parquet(f"{folder}/day={day}")
+    found = files.scanned_files(spark.read.parquet(folder)).collect()
+    assert sorted(r.rows for r in found) == [5, 7] and len({r.path for r in found}) == 2 and all(r.size > 0 for r in found)

@@ -213,3 +213,13 @@ def test_copies_of_a_row_that_come_and_go(spark):
     one, three = spark.createDataFrame([(1, "a")], kind), spark.createDataFrame([(1, "a")] * 3 + [(None, "n")] * 2, kind)
     with pytest.raises(Exception, match="more than once"):
         V.change_feed({0: one, 1: three}, ["id"]).collect()
+
+
+def test_a_random_layout_touches_all_files(spark):
+    n = 64
+    df = spark.range(n * n).select((F.col("id") % n).alias("x"), F.floor(F.col("id") / n).alias("y"))
+    good, bad = scratch(spark, "good"), scratch(spark, "bad")
+    V.clustered(df, "x", "y", 16).write.parquet(good)
+    df.repartition(16, F.xxhash64("x", "y")).write.parquet(bad)
+    shares = [V.touched_shares(spark.read.parquet(p), ["x", "y"]).first() for p in (good, bad)]
+    assert max(shares[0]) < 0.6 and min(shares[1]) > 0.9
