@@ -2,6 +2,7 @@
 
 import gzip
 import random
+import time
 import zlib
 
 import numpy as np
@@ -58,6 +59,31 @@ def test_nothing_else_of_an_article_is_dropped(frame):
     assert html.main_text(page).split("\n\n") == ["One", TEXT.strip(), "Two", TEXT.strip(), *[f"Reference {i}" for i in range(6)]]
 
 
+@pytest.mark.parametrize("wrap", ["<form>{}</form>", "<div class='with-sidebar'>{}</div>", "<div class='has-notice'>{}</div>", "<div class='hidden-xs'>{}</div>", "<section id='search-engines'>{}</section>", "<nav>{}", "<div class=sidebar><aside>{}</aside></div>", "<div hidden>{}</div>"])
+def test_names_around_everything_empty_no_page(wrap):
+    assert html.main_text("<body>" + wrap.format(f"<p>{TEXT}</p>" * 3) + "</body>").split("\n\n") == [TEXT.strip()] * 3
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<p class='ad'>Buy</p>", "<p><span class='share'>Buy</span></p>", "<ul><li class='comment'>Buy</li></ul>", "<ol class='commentlist'><li>Buy</ol>", "<h3 class='comments-title'>Buy</h3>",
+     "<aside>Buy</aside>", "<form><p>Buy</p></form>", "<div class='newsletter-box'>Buy</div>", f"<section class='comments'><p>{TEXT}</p><p>{TEXT}</p></section>", "<p class=notice>Buy</p>"],
+)
+def test_named_parts_of_an_article_go(part):
+    assert html.main_text(f"<article><p>{TEXT}</p><p>{TEXT}</p>{part}</article>").split("\n\n") == [TEXT.strip()] * 2
+
+
+def test_inline_parts_do_not_split_a_block_and_end_with_it():
+    assert html.main_text(f"<article><p>{TEXT}one <span class=ad>x <span>y</span> z</span>two<p>{TEXT}<span class=ad>x<p>three</article>").split("\n\n") == [f"{TEXT}one two", TEXT.strip(), "three"]
+
+
+def test_deep_and_unclosed_pages_take_linear_time():
+    for page, n in (("<div><p>word word</p>" * 20_000, 20_000), ("<div>" * 20_000 + "<p>word word</p>" + "</div>" * 20_000, 1), ("<li><div>word word" * 20_000, 20_000)):
+        begin = time.process_time()
+        assert html.main_text(page).count("word word") == n
+        assert time.process_time() - begin < 10
+
+
 def test_smoothing_keeps_a_constant_and_spreads_a_peak():
     assert np.allclose(html.smooth(np.full(9, 3.0)), 3)
     spread = html.smooth(np.eye(1, 11, 5)[0])
