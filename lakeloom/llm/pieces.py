@@ -20,7 +20,7 @@ from lakeloom.llm.tasks import Batches, map_batches, only, worker_store
 
 # Characters indexed together.
 TEXT = 1_000_000
-# Words whose ids a worker remembers before it starts anew.
+# Words whose ids a worker remembers; beyond, it keeps the first half.
 KNOWN = 600_000
 # Words of more characters are relaxed place by place; shorter ones all together, by distance from their start.
 LONG = 400
@@ -88,6 +88,14 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(pieces, first_byte, rank, left, right, keys[by], ranks[by])
 
 
+def order_of(keys: np.ndarray) -> np.ndarray:
+    """The places of the keys (from 0) in ascending order. Key and place are sorted as one number where 63 bits hold both."""
+    bits = int(len(keys)).bit_length()
+    if not len(keys) or int(keys.max()).bit_length() + bits > 63:
+        return np.argsort(keys)
+    return np.sort((keys << bits) | np.arange(len(keys))) & ((1 << bits) - 1)
+
+
 class Matcher:
     """Finds the ids of words over a vocabulary."""
 
@@ -103,9 +111,12 @@ class Matcher:
         self.ids = np.array(used, np.int64)
         self.lengths = np.array([len(vocabulary.pieces[i]) for i in used])
         self.depth = int(self.lengths.max())
-        self.codes = np.zeros((len(used), self.depth), np.int32)
+        self.width = self.other.bit_length()
+        codes = np.zeros((len(used), self.depth), np.int64)
         for row, i in enumerate(used):
-            self.codes[row, : self.lengths[row]] = [self.code[c] for c in vocabulary.pieces[i]]
+            codes[row, : self.lengths[row]] = [self.code[c] for c in vocabulary.pieces[i]]
+        self.keys = self.packed(codes)
+        self.masks = self.packed(np.where(codes > 0, (1 << self.width) - 1, 0))
         # A stranger to the vocabulary is a token of its own, beyond all ids; it never merges.
         self.stranger = vocabulary.size
         self.rank = np.append(vocabulary.rank, -1)
@@ -165,10 +176,15 @@ class Matcher:
         return good
 
     def suffixes(self, text: np.ndarray) -> np.ndarray:
-        """Positions of the text in the order of their suffixes, as far as the longest piece reaches."""
-        rank, width = text.astype(np.int64), 1
+        """Positions of the text in the order of their suffixes, as far as the longest piece reaches.
+
+        The first sort takes three characters at once, each further one doubles that.
+        """
+        width, rank = 3, text.astype(np.int64)
+        padded = np.concatenate([rank, [0, 0]])
+        rank = (rank * (self.other + 1) + padded[1:-1]) * (self.other + 1) + padded[2:]
         while True:
-            order = np.argsort(rank, kind="stable")
+            order = order_of(rank)
             ordered = rank[order]
             fresh = np.empty(len(rank), np.int64)
             fresh[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
@@ -179,11 +195,26 @@ class Matcher:
             rank = fresh * (len(rank) + 1) + follow
             width *= 2
 
+    def packed(self, codes: np.ndarray) -> np.ndarray:
+        """Rows of character codes as rows of few whole numbers in the same order; missing characters count as 0."""
+        per = 62 // self.width
+        whole = np.zeros((len(codes), -(-self.depth // per) * per), np.int64)
+        whole[:, : codes.shape[1]] = codes
+        out = np.zeros((len(codes), whole.shape[1] // per), np.int64)
+        for k in range(per):
+            out = (out << self.width) | whole[:, k::per]
+        return out
+
     def ranges(self, text: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per piece the first and the end place of its occurrences in the suffix array, by binary search."""
-        padded = np.concatenate([text, np.zeros(self.depth, text.dtype)])
-        column = np.arange(self.depth)
-        inside = column < self.lengths[:, None]
+        """Per piece the first and the end place of its occurrences in the suffix array, by binary search.
+
+        Suffixes are compared as numbers of several characters each, cut to the length of the piece by its mask.
+        """
+        per, parts = 62 // self.width, self.keys.shape[1]
+        padded = np.concatenate([text.astype(np.int64), np.zeros(per * parts, np.int64)])
+        run = np.zeros(len(padded) - per + 1, np.int64)
+        for k in range(per):
+            run = (run << self.width) | padded[k : k + len(run)]
 
         def search(past: bool) -> np.ndarray:
             low, high = np.zeros(len(self.ids), np.int64), np.full(len(self.ids), len(order), np.int64)
@@ -192,13 +223,12 @@ class Matcher:
                 if not len(open_):
                     return low
                 mid = (low[open_] + high[open_]) // 2
-                seen = padded[order[mid][:, None] + column]
-                differ = (seen != self.codes[open_]) & inside[open_]
-                first = differ.argmax(1)
-                row = np.arange(len(open_))
-                some = differ[row, first]
-                less = some & (seen[row, first] < self.codes[open_][row, first])
-                before = less | ~some if past else less
+                at, less, same = order[mid], np.zeros(len(open_), bool), np.ones(len(open_), bool)
+                for part in range(parts):
+                    seen, want = run[at + part * per] & self.masks[open_, part], self.keys[open_, part]
+                    less |= same & (seen < want)
+                    same &= seen == want
+                before = less | same if past else less
                 low[open_[before]] = mid[before] + 1
                 high[open_[~before]] = mid[~before]
 
@@ -223,14 +253,14 @@ class Matcher:
         start, token, span = np.concatenate([start, alien]), np.concatenate([token, np.full(len(alien), self.stranger)]), np.concatenate([span, np.ones(len(alien), np.int64)])
         origin = np.repeat(begin, sizes + 1)[: len(line)]
         depth = start + span - origin[start]
-        # By distance from the start of the word, then by place, longest first.
-        by = np.argsort((depth * (len(line) + 1) + start + span) * 32 + (31 - span), kind="stable")
-        start, token, span, depth = start[by], token[by], span[by], depth[by]
         last, back = np.full(len(line) + 1, -1, np.int64), np.zeros(len(line) + 1, np.int64)
         long = np.repeat(sizes > LONG, sizes + 1)[: len(line)][start]
         if long.any():
             self._relax_long(start[long], token[long], span[long], origin, last, back)
             start, token, span, depth = start[~long], token[~long], span[~long], depth[~long]
+        # By distance from the start of the word, then by place, longest first.
+        by = order_of((depth * (len(line) + 1) + start + span) * 32 + (31 - span))
+        start, token, span, depth = start[by], token[by], span[by], depth[by]
         cuts = np.flatnonzero(np.diff(depth, prepend=-1, append=-1))
         for a, b in zip(cuts, cuts[1:]):
             self._relax(start[a:b], token[a:b], span[a:b], origin, last, back)
@@ -289,20 +319,30 @@ class Matcher:
                 limit, r = b + 1, left[r]
 
     def _trace(self, words, line, begin, sizes, last, back) -> list[np.ndarray]:
-        """The pieces from the end of each word back to its start."""
-        tail, way = last.tolist(), back.tolist()
-        out = []
-        for first, size in zip(begin.tolist(), sizes.tolist()):
-            ids, at = [], first + size
-            while at > first:
-                token = tail[at]
-                if token == self.stranger:
-                    ids += [b + self.v.first_byte for b in reversed(chr(line[at - 1]).encode("utf-8", "surrogatepass"))]
-                else:
-                    ids.append(token)
-                at = way[at]
-            out.append(np.array(ids[::-1], np.int64))
-        return out
+        """The pieces from the end of each word back to its start, of all words together, one piece a step."""
+        at, live, steps = begin + sizes, np.arange(len(words)), []
+        count = np.zeros(len(words), np.int64)
+        while len(live):
+            live = live[at[live] > begin[live]]
+            here = at[live]
+            steps.append((live, last[here], here - 1))
+            count[live] += 1
+            at[live] = back[here]
+        ends = np.cumsum(count)
+        flat, place = np.zeros(int(count.sum()), np.int64), np.zeros(int(count.sum()), np.int64)
+        for step, (who, token, where) in enumerate(steps):
+            flat[ends[who] - 1 - step], place[ends[who] - 1 - step] = token, where
+        strange = np.flatnonzero(flat == self.stranger)
+        if len(strange):
+            spelled = [[b + self.v.first_byte for b in chr(c).encode("utf-8", "surrogatepass")] for c in line[place[strange]].tolist()]
+            more = np.array([len(x) for x in spelled], np.int64)
+            width = np.ones(len(flat), np.int64)
+            width[strange] = more
+            owner = np.repeat(np.arange(len(words)), count)
+            longer = np.repeat(flat, width)
+            longer[np.repeat(flat == self.stranger, width)] = [b for x in spelled for b in x]
+            flat, ends = longer, np.cumsum(np.bincount(owner, width, len(words)).astype(np.int64))
+        return np.split(flat, ends[:-1])
 
 
 def split(text: str) -> list[str]:
@@ -323,6 +363,9 @@ class Codec:
                 self.spelling[v.first_byte + b] = bytes([b])
         if v.size > 2:
             self.spelling[1 if not v.pieces[1] and v.first_byte != 1 else 0] = b""
+        self.letters = np.frombuffer(b"".join(self.spelling), np.uint8)
+        self.sizes = np.array([len(x) for x in self.spelling], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         parts = [split(t) for t in texts]
@@ -332,16 +375,21 @@ class Codec:
             size += len(word) + 1
             if size >= TEXT or i == len(fresh) - 1:
                 part = fresh[start : i + 1]
-                for w, ids in zip(part, self.matcher.words(part)):
-                    self.known[w] = ids.astype("<u4").tobytes()
+                found = self.matcher.words(part)
+                raw, ends = np.concatenate(found).astype("<u4").tobytes(), (4 * np.cumsum([len(f) for f in found])).tolist()
+                self.known.update((w, raw[a:b]) for w, a, b in zip(part, [0, *ends], ends))
                 start, size = i + 1, 0
         made = [np.frombuffer(b"".join(map(self.known.__getitem__, p)), "<u4") for p in parts]
         if len(self.known) > KNOWN:
-            self.known.clear()
+            # Words met first are mostly the frequent ones; they stay.
+            for word in list(self.known)[KNOWN // 2 :]:
+                del self.known[word]
         return made
 
     def decode(self, ids: np.ndarray) -> str:
-        raw = b"".join(map(self.spelling.__getitem__, ids.tolist()))
+        size = self.sizes[ids]
+        end = np.cumsum(size)
+        raw = self.letters[np.repeat(self.begins[ids] - end + size, size) + np.arange(end[-1] if len(end) else 0)].tobytes()
         text = raw.decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
