@@ -21,7 +21,7 @@ from lakeloom.llm.tasks import Batches, map_batches
 from lakeloom.session import cut
 
 # Documents of a block, and postings after which a block ends early.
-COLUMNS, POSTINGS = 4096, 1_000_000
+COLUMNS, POSTINGS = 2048, 400_000
 # Items that meet a block together; ranges halved in one step.
 TILE, STEP = 256, 512
 # Terms whose document counts a task holds before it passes them on.
