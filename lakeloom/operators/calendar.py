@@ -255,6 +255,8 @@ def date_minute_view(
     """
     if window is not None:
         times = times.filter(F.col(f"IsWindow{window}MinuteStart"))
+        # Only the starts go on to meet the columns of their dates.
+        mapping = mapping.join(times.select("WeekTimePK"), "WeekTimePK", "left_semi").select(*mapping.columns)
     view = dates.join(mapping, dates["DatePK"] == mapping["DateUtcFK"], "left").join(
         times.select(*WEEK_COLUMNS, *TIME_COLUMNS),
         "WeekTimePK",

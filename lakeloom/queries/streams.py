@@ -149,7 +149,7 @@ def _(t):
     folder = t.scratch("checked")
     T.run_expectations(_stream(t), _value_rules(), "warn", f"{folder}/rows", f"{folder}/metrics", f"{folder}/checkpoint")
     return (
-        t.spark.read.parquet(f"{folder}/metrics")
+        T.rule_counts(t.spark, f"{folder}/metrics")
         .groupBy("rule")
         .agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
     )
@@ -175,7 +175,7 @@ def _(t):
     folder = t.scratch("quarantine")
     T.run_quarantine(_stream(t), _value_rules(), f"{folder}/data", f"{folder}/checkpoint", f"{folder}/metrics")
     held = read_flagged(t.spark, f"{folder}/data", t.events.schema, "is_quarantined").filter("is_quarantined")
-    counts = t.spark.read.parquet(f"{folder}/metrics").groupBy("rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+    counts = T.rule_counts(t.spark, f"{folder}/metrics").groupBy("rule").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
     return counts.withColumn("quarantined", held.agg(F.count(F.lit(1))).scalar())
 
 

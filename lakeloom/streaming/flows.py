@@ -96,22 +96,33 @@ def with_folder(stream: DataFrame, name: str) -> DataFrame:
     return stream.withColumn(name, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
 
 
+COUNTS = "rule string, passed bigint, failed bigint"
+
+
+def _keep_counts(spark: SparkSession, counts: Sequence[tuple[str, int, int]], path: str, number: int) -> None:
+    """The observed counts of one batch as one small file under its number; no job of its own, and a batch that runs again replaces it."""
+    names = [f.split()[0] for f in COUNTS.split(", ")]
+    put_text(spark, f"{path}/batch={number}/counts.json", "\n".join(json.dumps(dict(zip(names, c))) for c in counts))
+
+
+def rule_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Counts per rule and ``batch``, as streams have kept them."""
+    return spark.read.schema(COUNTS + ", batch bigint").json(path)
+
+
 def run_expectations(
     stream: DataFrame, rules: Rules, action: str, path: str, metrics_path: str, checkpoint: str
 ) -> None:
     """Write the rows that pass and the counts per rule, one folder per batch.
 
-    Rows and counts come from one read of the batch. A batch that runs again after a crash replaces
-    its own folder, so nothing is counted twice.
+    Rows and counts come from one read of the batch: the counts are observed while the rows are written. A batch that
+    runs again after a crash replaces its own folder, so nothing is counted twice; :func:`rule_counts` reads them.
     """
 
     def each(batch: DataFrame, number: int) -> None:
         watched = watch(batch, rules, action)
         watched.rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
-        counts = batch.sparkSession.createDataFrame(
-            watched.counts(), "rule string, passed bigint, failed bigint"
-        )
-        counts.coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch={number}")
+        _keep_counts(batch.sparkSession, watched.counts(), metrics_path, number)
 
     run_batches(stream, each, checkpoint)
 
@@ -131,10 +142,7 @@ def run_quarantine(
         watched = watch(batch, rules, "warn")
         flagged = quarantine(watched.rows, rules)
         flagged.write.mode("overwrite").partitionBy("is_quarantined").parquet(f"{path}/batch={number}")
-        counts = batch.sparkSession.createDataFrame(
-            watched.counts(), "rule string, passed bigint, failed bigint"
-        )
-        counts.coalesce(1).write.mode("overwrite").parquet(f"{metrics_path}/batch={number}")
+        _keep_counts(batch.sparkSession, watched.counts(), metrics_path, number)
 
     run_batches(stream, each, checkpoint)
 
