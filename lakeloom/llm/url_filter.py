@@ -11,7 +11,7 @@ from collections import Counter
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.tasks import Batches, map_batches
@@ -143,15 +143,16 @@ def segments(names: DataFrame, words: DataFrame) -> DataFrame:
 
     All parts of a name that are words of the list meet it by a join, so the list may be of any size.
     """
-    total = F.log(F.sum("n").over(Window.partitionBy())).alias("total")
-    costs = cut(words.select("word", "n", total), "lexicon").select("word", (F.col("total") - F.log("n")).alias("cost"), "total")
-    rare = F.coalesce(F.lit(costs.agg(F.max("total")).first()[0]).cast("double"), F.lit(0.0))
+    counted = cut(words, "lexicon")
+    # One number: the occurrences of all words.
+    rare = math.log(counted.agg(F.sum("n")).first()[0] or 1)
+    costs = counted.select("word", (F.lit(rare) - F.log("n")).alias("cost"))
     size = F.length("name")
     starts = names.select("name", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
     parts = starts.select("name", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), size - F.col("start")))).alias("length"))
     parts = parts.withColumn("word", F.substr("name", F.col("start") + 1, F.col("length")))
     edges = parts.join(costs, "word").groupBy("name").agg(F.sort_array(F.collect_list(F.struct("start", "length", "cost"))).alias("edges"))
-    rare_edge = F.array(F.struct(F.lit(-1).alias("start"), F.lit(0).alias("length"), rare.alias("cost")))
+    rare_edge = F.array(F.struct(F.lit(-1).alias("start"), F.lit(0).alias("length"), F.lit(rare).alias("cost")))
     every = names.join(edges, "name", "left").select("name", F.concat(rare_edge, F.coalesce("edges", rare_edge)).alias("edges"))
     return map_batches(every, _split, "name string, words array<string>", 500)
 
