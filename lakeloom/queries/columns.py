@@ -1,11 +1,14 @@
 """Projections, filters, scalar functions and former UDFs."""
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.functions import text, times, units
 from lakeloom.operators import filters, rows
 from lakeloom.queries.base import query
+from lakeloom.sinks.tables import save_table
 
 
 @query(
@@ -385,6 +388,18 @@ def _(t):
     )
 
 
+@query(
+    "p29_table_name_parameter",
+    """SELECT o_orderstatus, count(*) AS n, sum(CAST(o_orderkey AS BIGINT))::BIGINT AS keys FROM {orders} WHERE o_totalprice > 100000 GROUP BY 1""",
+)
+def _(t):
+    """The table itself is an argument: its name goes through IDENTIFIER, so no text is put together."""
+    name = f"orders_{uuid4().hex[:12]}"
+    save_table(t.orders, name, path=t.scratch("orders"))
+    select = "SELECT o_orderstatus, count(*) AS n, sum(o_orderkey) AS keys FROM IDENTIFIER(:table) WHERE o_totalprice > :least GROUP BY o_orderstatus"
+    return filters.parameterised(t.spark, select, {"table": name, "least": 100000.0})
+
+
 @query(
     "f1_string_functions",
     """SELECT p_partkey, concat(p_name, '/', p_brand) AS joined, concat_ws('||', p_name, p_brand, p_type) AS listed,
