@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
 from functools import reduce
 
@@ -92,13 +93,17 @@ def as_number(df: DataFrame, name: str) -> Column:
     raise ValueError(f"no number keeps the order of a {kind.simpleString()}")
 
 
-def rank_among(name: str, bounds: Sequence[float] | None) -> Column:
-    """How many of the bounds the value of a column reaches, by binary search; 0 for NULL."""
-    marks = sorted(set(bounds or []))
+def rank_among(name: str, bounds: Sequence[float] | None, repeated: bool = False) -> Column:
+    """How many of the bounds the value of a column reaches, by binary search; 0 for NULL.
+
+    Equal bounds count once, or each if ``repeated``: then few distinct values spread over all ranks, by their share of the rows.
+    """
+    given = sorted(bounds or [])
+    marks = sorted(set(given))
 
     def search(low: int, high: int) -> str:
         if low == high:
-            return str(low)
+            return str(bisect_left(given, marks[low]) if repeated and low < len(marks) else len(given) if repeated else low)
         middle = (low + high) // 2
         above, below = search(middle + 1, high), search(low, middle)
         return f"CASE WHEN {name} >= {marks[middle]!r}D THEN {above} ELSE {below} END"

@@ -213,7 +213,7 @@ def clustered(df: DataFrame, first: str, second: str, partitions: int, bits: int
             placed = placed.join(ranks, F.col(f"`{name}`") == F.col(f"_value{mark}"), "left").drop(f"_value{mark}")
             placed = placed.withColumn(mark, F.coalesce(mark, F.lit(0)))
         else:
-            placed = placed.withColumn(mark, numbers[mark]).withColumn(mark, rank_among(mark, bounds[mark]))
+            placed = placed.withColumn(mark, numbers[mark]).withColumn(mark, rank_among(mark, bounds[mark], repeated=True))
     curve = spread_bits(F.col("_x"), bits).bitwiseOR(F.shiftleft(spread_bits(F.col("_y"), bits), 1))
     # One number is the sort key: the place on the curve, and below it a digest that splits a frequent pair.
     key = F.shiftleft(curve.cast("bigint"), 40).bitwiseOR(F.shiftrightunsigned(F.xxhash64(*df.columns), 24))

@@ -223,3 +223,12 @@ def test_a_random_layout_touches_all_files(spark):
     df.repartition(16, F.xxhash64("x", "y")).write.parquet(bad)
     shares = [V.touched_shares(spark.read.parquet(p), ["x", "y"]).first() for p in (good, bad)]
     assert max(shares[0]) < 0.6 and min(shares[1]) > 0.9
+
+
+def test_few_distinct_values_spread_over_the_curve(spark):
+    """Ten values beside many: both columns narrow, which ranks among distinct bounds alone would not give."""
+    df = spark.range(6000).select((F.col("id") % 10).alias("x"), F.pmod(F.col("id") * 7919, F.lit(6000)).alias("y"))
+    path = scratch(spark, "few")
+    V.clustered(df, "x", "y", 8).write.parquet(path)
+    share = V.touched_shares(spark.read.parquet(path), ["x", "y"]).first()
+    assert share.x < 0.7 and share.y < 0.5
