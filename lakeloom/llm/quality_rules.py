@@ -14,6 +14,8 @@ from lakeloom.session import cut
 BUCKETS = 1 << 14
 # Kept are documents with at least this mean log ratio per n-gram, in nats.
 THRESHOLD = -0.15
+# Numbers of 64 bits in the filter of trusted keys: one megabyte.
+FILTER_WORDS = 1 << 17
 # Rules of the base.
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
@@ -36,20 +38,44 @@ def words_of(text: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """Words inside three-word windows that the text holds twice or more, each counted once.
 
-    Windows are compared by 64-bit hashes. Where some repeat, hash and position are packed into one number
-    (the position takes the low bits it needs) and sorted, so equal windows become neighbours: n log n steps
-    for any text. Two different windows of a text of n words pass for equal with a chance below n^3 / 2^64.
+    Where some of the windows' 64-bit hashes agree, the upper bits of the hash and the position are packed into one number
+    and sorted, so that windows which may be equal become neighbours: n log n steps for any text. Neighbours
+    are then compared by their words. A group of agreeing bits that holds different windows shows at least one unequal pair
+    of neighbours; the windows of such groups are sorted by the words themselves. So the count is exact at any length.
     """
 
-    def covered(h: Column) -> Column:
+    def covered(w: Column, h: Column) -> Column:
         low = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.length(F.bin(F.size(h).cast("bigint"))))
         place = (low - 1).cast("bigint")
+        top = lambda x: x.bitwiseAND(F.bitwise_not(place))
+        at = lambda x: x.bitwiseAND(place).cast("int")
+        yes = lambda c: F.coalesce(c, F.lit(False))
+
+        def equal(p: Column, q: Column) -> Column:
+            return (F.get(w, p) == F.get(w, q)) & (F.get(w, p + 1) == F.get(w, q + 1)) & (F.get(w, p + 2) == F.get(w, q + 2))
+
+        def settled(places: Column) -> Column:
+            """Of these windows, the places of those whose words come twice or more."""
+            spelled = F.transform(places, lambda p: F.struct(F.struct(F.get(w, p), F.get(w, p + 1), F.get(w, p + 2)).alias("g"), p.alias("p")))
+            twin = lambda s, x, j: yes(x["g"] == F.get(s, j - 1)["g"]) | yes(x["g"] == F.get(s, j + 1)["g"])
+            return let(F.sort_array(spelled), lambda s: F.array_compact(F.transform(s, lambda x, j: F.when(twin(s, x, j), x["p"]))))
 
         def flagged(s: Column) -> Column:
-            top = lambda x: x.bitwiseAND(F.bitwise_not(place))
-            twin = lambda x, j: (top(x) == top(F.get(s, j - 1))) | (top(x) == top(F.get(s, j + 1)))
-            found = F.transform(s, lambda x, j: F.when(F.coalesce(twin(x, j), F.lit(False)), x.bitwiseAND(place)))
-            return F.sort_array(F.array_compact(found))
+            twin = lambda x, j: yes(top(x) == top(F.get(s, j - 1))) | yes(top(x) == top(F.get(s, j + 1)))
+            found = F.array_compact(F.transform(s, lambda x, j: F.when(twin(x, j), x)))
+
+            def split(f: Column) -> Column:
+                clash = lambda x, j: yes(top(x) == top(F.get(f, j + 1))) & ~equal(at(x), at(F.get(f, j + 1)))
+                mixed = F.array_distinct(F.array_compact(F.transform(f, lambda x, j: F.when(clash(x, j), top(x)))))
+
+                def joined(m: Column) -> Column:
+                    sure = F.transform(F.filter(f, lambda x: ~F.array_contains(m, top(x))), at)
+                    doubtful = F.transform(F.filter(f, lambda x: F.array_contains(m, top(x))), at)
+                    return F.when(F.size(m) == 0, F.transform(f, at)).otherwise(F.concat(sure, settled(doubtful)))
+
+                return let(mixed, joined)
+
+            return F.sort_array(let(found, split))
 
         packed = F.transform(h, lambda x, i: x.bitwiseAND(F.bitwise_not(place)).bitwiseOR(i.cast("bigint")))
         steps = lambda q: F.transform(q, lambda p, j: F.coalesce(F.least(F.get(q, j + 1) - p, F.lit(3)), F.lit(3)))
@@ -61,7 +87,7 @@ def repeated_words(words: Column) -> Column:
             F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))
         )
         none = lambda h: F.size(F.array_distinct(h)) == F.size(h)
-        return let(windows, lambda h: F.when(none(h), F.lit(0).cast("bigint")).otherwise(covered(h)))
+        return let(windows, lambda h: F.when(none(h), F.lit(0).cast("bigint")).otherwise(covered(w, h)))
 
     return let(words, count)
 
@@ -76,20 +102,43 @@ def bucket(*words: Column) -> Column:
     return F.pmod(F.xxhash64(*words), F.lit(BUCKETS)).cast("int")
 
 
+def maybe_among(keys: DataFrame, key: str) -> Column:
+    """True for every value of ``keys``, and for few others: a Bloom filter of ``FILTER_WORDS`` numbers, whatever the number of keys.
+
+    With some ten million keys and more it lets most values pass; what it lets pass must be joined.
+    """
+    bits, each = 64 * FILTER_WORDS, range(3)
+    place = lambda j: F.pmod(F.xxhash64(F.col(key), F.lit(j)), F.lit(bits))
+    places = keys.select(F.explode(F.array(*[place(j) for j in each])).alias("p"))
+    words = places.groupBy(F.shiftright("p", 6).cast("int").alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))).alias("w"))
+    full = keys.sparkSession.range(FILTER_WORDS).select(F.col("id").cast("int").alias("at")).join(words, "at", "left")
+    one = full.agg(F.transform(F.sort_array(F.collect_list(F.struct("at", F.coalesce("w", F.lit(0).cast("bigint")).alias("w")))), lambda x: x["w"]).alias("filter"))
+    held = one.scalar()
+    found = [F.call_function("shiftrightunsigned", F.get(held, F.shiftright(place(j), 6).cast("int")), place(j).bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1 for j in each]
+    return found[0] & found[1] & found[2]
+
+
+def _gram_counts(texts: DataFrame, name: str) -> DataFrame:
+    """(bucket, ``name``): words and word pairs of ``_text`` per bucket."""
+    each = texts.select(words_of(F.col("_text")).alias("w"))
+    pairs = each.select(F.explode(F.arrays_zip(F.col("w").alias("x"), F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))).alias("y"))).alias("g"))
+    grams = pairs.select(F.explode(F.array(bucket(F.col("g.x")), F.when(F.col("g.y").isNotNull(), bucket(F.col("g.x"), F.col("g.y"))))).alias("bucket"))
+    return grams.filter("bucket is not null").groupBy("bucket").agg(F.count(F.lit(1)).alias(name))
+
+
 def log_ratios(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
     """(bucket, ratio) for every bucket: log of its share among the words and word pairs of trusted documents
     over its share in all documents, one added to every count, to six decimals.
 
-    Trusted are all documents labelled 1; texts meet their keys by an ordinary shuffle join, the same for any number of
-    labels. Both sides count every word, in partial sums per task.
+    Trusted are all documents labelled 1. All documents are counted in a plain scan; the trusted ones a second time, by an ordinary
+    semi join with their keys. A filter of fixed size lets few other texts into its shuffle. Both sides count every
+    word, in partial sums per task.
     """
     named = F.col(f"`{key}`")
-    good = labels.filter(named.isNotNull() & (F.col(f"`{label}`") == 1)).select(named.alias("_key")).distinct()
-    each = docs.select(named.alias("_key"), F.col(f"`{text}`").alias("_text")).join(good.withColumn("_good", F.lit(True)).hint("merge"), "_key", "left")
-    each = each.select("_good", words_of(F.col("_text")).alias("w"))
-    pairs = each.select("_good", F.explode(F.arrays_zip(F.col("w").alias("x"), F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))).alias("y"))).alias("g"))
-    grams = pairs.select("_good", F.explode(F.array(bucket(F.col("g.x")), F.when(F.col("g.y").isNotNull(), bucket(F.col("g.x"), F.col("g.y"))))).alias("bucket"))
-    counts = grams.filter("bucket is not null").groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_good").alias("good"))
+    good = cut(labels.filter(named.isNotNull() & (F.col(f"`{label}`") == 1)).select(named.alias("_key")).distinct(), "trusted")
+    texts = docs.select(named.alias("_key"), F.col(f"`{text}`").alias("_text"))
+    raw = _gram_counts(texts, "raw")
+    counts = raw.join(_gram_counts(texts.filter(maybe_among(good, "_key")).join(good, "_key", "left_semi"), "good"), "bucket", "left")
     full = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
     one = lambda c: F.coalesce(F.col(c), F.lit(0)) + 1
     total = lambda c: F.sum(one(c)).over(Window.partitionBy())

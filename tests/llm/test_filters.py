@@ -32,7 +32,10 @@ def corpus(spark):
             words = [w + "###" if r.random() < 0.8 else w.upper() for w in words]
         docs.append((i, " ".join(words)))
         marks.append((i, int(i % 6 != 1), int(i % 6 == 0)))
-    return spark.createDataFrame(docs, "doc_id long, text string").cache(), labels(spark, marks).cache()
+    frames = spark.createDataFrame(docs, "doc_id long, text string").cache(), labels(spark, marks).cache()
+    yield frames
+    for frame in frames:
+        frame.unpersist(True)
 
 
 @pytest.fixture(scope="module")
@@ -177,6 +180,25 @@ def test_repeats_of_many_kinds(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute_measures(made[r.doc_id])
 
 
+def test_repeats_where_hashes_agree(spark, monkeypatch):
+    """Hashes of few values: most windows of a group differ, the words decide."""
+    few = quality_rules.F.xxhash64
+    monkeypatch.setattr(quality_rules.F, "xxhash64", lambda *c: quality_rules.F.pmod(few(*c), quality_rules.F.lit(7)) * (1 << 50))
+    r = random.Random(8)
+    made = [" ".join(r.choice("abcd") for _ in range(n)) for n in (3, 10, 40, 90, 300)] + [" ".join(f"w{i}" for i in range(200)), "a b c d e f a b c"]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    got = docs.select("doc_id", quality_rules.repeated_words(quality_rules.words_of(docs.text)).alias("n")).collect()
+    assert {x.doc_id: x.n for x in got} == {i: brute_measures(t)[4] for i, t in enumerate(made)}
+
+
+def test_repeats_of_very_long_texts(spark):
+    """3.5 million words: positions leave 42 bits of the hash, so that some different windows agree."""
+    words = quality_rules.F.expr("concat(transform(sequence(0, 3500000), i -> concat(prefix, i)), array(concat(prefix, 7), concat(prefix, 8), concat(prefix, 9)))")
+    for prefix in ("v", "zz"):
+        one = spark.range(1).selectExpr(f"'{prefix}' as prefix").select(words.alias("w"))
+        assert one.select(quality_rules.repeated_words(one.w).alias("n")).first().n == 6
+
+
 def test_odd_rows_of_quality_rules(spark):
     docs = odd_documents(spark)
     for rows, marks in ((docs, labels(spark)), (docs, no_rows(labels(spark))), (no_rows(docs), labels(spark))):
