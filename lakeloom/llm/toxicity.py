@@ -26,8 +26,8 @@ from lakeloom.session import cut
 SAMPLE = 20_000
 # Word beginnings looked at, in characters.
 STEMS = (4, 5, 6, 7)
-# Candidate stems kept for learning, at most, by their number of toxic documents.
-CANDIDATES = 100_000
+# Features whose counts a task holds before it passes them on.
+COUNTED = 1_000_000
 # Words whose reading a worker remembers.
 KNOWN = 300_000
 
@@ -73,10 +73,13 @@ def _count_trigrams(batches: Batches) -> Batches:
         words: Counter[str] = Counter()
         for text in batch.column(0).to_pylist():
             words.update((text or "").lower().split())
-        plain = [w for w in words if w.isalpha()]
+        plain: Counter[str] = Counter()
+        for word, n in words.items():
+            if (bare := word.strip(AROUND)).isalpha():
+                plain[bare] += n
         if plain:
-            c = _codes(plain)
-            often = np.repeat([words[w] for w in plain], [len(w) + 2 for w in plain])
+            c = _codes(list(plain))
+            often = np.repeat(list(plain.values()), [len(w) + 2 for w in plain])
             inside = (c[1:-1] != EDGE) | (c[2:] != EDGE)
             # Position i belongs to the word whose two boundaries and letters it runs through.
             index = (c[:-2] * SIZE + c[1:-1]) * SIZE + c[2:]
@@ -87,7 +90,7 @@ def _count_trigrams(batches: Batches) -> Batches:
 
 
 def character_costs(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """-log P(third | first, second) for all trigrams of the alphabet, from the letter-only words of all texts.
+    """-log P(third | first, second) for all trigrams of the alphabet, from the words of all texts that are letters alone but for signs around them.
 
     Counts are summed in the tasks; at most ``SIZE ** 3`` numbers (a quarter million) reach the driver, whatever
     the size of the corpus.
@@ -284,19 +287,24 @@ def _words(text: str, costs, known: dict) -> set[str]:
     return found
 
 
-def _counting(costs: np.ndarray, chosen: frozenset[str] | None, toxic: int):
-    """Number of documents with each feature, among those labelled ``toxic``."""
+def _counting(costs: np.ndarray):
+    """Number of toxic and of other documents with each feature."""
 
     def work(batches: Batches) -> Batches:
-        table, known, total = costs.tolist(), {}, Counter()
+        table, known, total = costs.tolist(), {}, (Counter(), Counter())
+
+        def passed() -> pa.RecordBatch:
+            names = [*total[1], *(f for f in total[0] if f not in total[1])]
+            counts = [pa.array([t[f] for f in names], pa.int64()) for t in (total[1], total[0])]
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *counts], ["feature", "n", "m"])
+
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if label == toxic:
-                    made = {f for w in _words(text or "", table, known) for f in features(w)}
-                    total.update(made if chosen is None else made & chosen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["feature", "n"]
-        )
+                total[label == 1].update({f for w in _words(text or "", table, known) for f in features(w)})
+            if len(total[0]) + len(total[1]) > COUNTED:
+                yield passed()
+                total[0].clear(), total[1].clear()
+        yield passed()
 
     return work
 
@@ -339,8 +347,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str
     """(text, label) of at most ``bound`` labelled texts outside the held-out fold, copies and near copies once.
 
     The labels are cut to the bound by the order of a hash before they meet the texts, so what is broadcast has
-    a fixed size. A key labelled twice takes the higher label; null keys and labels are left out. Texts that agree
-    in one of three minimum hashes count as copies: their words would else pass for independent evidence.
+    a fixed size. A key labelled twice takes the higher label; null keys and labels are left out. Texts with one label that
+    agree in all of three minimum hashes count as copies: their words would else pass for independent evidence.
     """
     named = F.col(f"`{key}`")
     ask = labels.filter(named.isNotNull() & F.col(f"`{label}`").isNotNull() & ~held_out(named))
@@ -349,10 +357,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, key: str, text: str
     own = docs.select(named.alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     found = own.join(F.broadcast(ask), "_key").select("text", F.col("_label").alias("label"))
     found = map_batches(found, _signatures, "text string, label int, s0 bigint, s1 bigint, s2 bigint", 500)
-    for s in ("s0", "s1", "s2"):
-        order = F.struct("label", F.xxhash64("text").alias("h"), "text", "s1", "s2")
-        found = found.groupBy(s).agg(F.max(order).alias("one")).select("one.*")
-        found = found.withColumn("s0", F.lit(0)) if s == "s0" else found
+    first = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    found = found.groupBy("s0", "s1", "s2", "label").agg(first)
     return found.select("text", "label")
 
 
@@ -372,21 +378,16 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
     if not bad:
         return Model(costs, {}, 0.0)
     share = bad / (bad + good)
-    kinds = "feature string, n bigint"
-    seen = map_batches(sample, _counting(costs, None, 1), kinds).groupBy("feature").agg(F.sum("n").alias("n"))
-    seen = cut(seen, "features")
+    counts = map_batches(sample, _counting(costs), "feature string, n bigint, m bigint").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    seen = cut(counts.filter("n > 0"), "features")
     bar = 2 * math.log(max(seen.count(), 10))
-    least = max(3.0, bar / 2 / math.log(1 / share)) if share < 1 else 3.0
-    rows = seen.filter(F.col("n") >= least).orderBy(F.desc("n"), "feature").limit(CANDIDATES).collect()
-    a = {r["feature"]: r["n"] for r in rows}
-    against = map_batches(sample, _counting(costs, frozenset(a), 0), kinds).groupBy("feature").agg(F.sum("n").alias("n"))
-    b = {r["feature"]: r["n"] for r in against.collect()}
-    weights = {}
-    for feature, n in a.items():
-        m = b.get(feature, 0)
-        weight = (n + share) / (n + m + 1)
-        if weight >= 0.5 and 2 * (n * math.log(n / (n + m) / share) + (m * math.log(m / (n + m) / (1 - share)) if m else 0)) > bar:
-            weights[feature] = weight
+    # The likelihood ratio is taken where the counts are; what is far above chance, a short list, reaches the driver.
+    n, m = F.col("n"), F.col("m")
+    part = lambda x, p: F.when(x > 0, x * F.log(x / (n + m) / p)).otherwise(0.0)
+    weight = ((n + share) / (n + m + 1)).alias("weight")
+    rated = seen.select("feature", "n", "m", weight, (2 * (part(n, share) + (part(m, 1 - share) if good else F.lit(0.0)))).alias("ratio"))
+    rows = rated.filter((F.col("weight") >= 0.5) & (F.col("ratio") > bar) & (n >= 3)).collect()
+    weights, b = {r["feature"]: r["weight"] for r in rows}, {r["feature"]: r["m"] for r in rows}
     apart = {f: w for f, w in weights.items() if not any(weights.get(g) == w and g != f for g in _wider(f, weights))}
     holding = map_batches(sample, _holding(costs, frozenset(apart)), "held array<string>").collect()
     uncovered = [frozenset(r["held"]) for r in holding]
