@@ -27,7 +27,9 @@ SAMPLE = 20_000
 # Vectors of a cell, and queries of a cell, compared in one step.
 TILE = 1024
 # Distinct vectors of the largest label per cell that the grid is laid out for, and the most codes per half.
-PER_CELL, MOST_CODES = 128, 1024
+PER_CELL, MOST_CODES = 128, 2048
+# Planes that bound a region as seen from a vector.
+PLANES = 12
 ROUNDS = 12
 
 
@@ -51,25 +53,42 @@ class Index:
             return self.reach
         return min(self.reach, NormalDist().inv_cdf(max(self.recall, 0.5)) ** 2 * self.reach / d + 1e-12)
 
-    def halves(self, unit: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per half: the nearest code of every vector, and lower bounds of the distances to all codes' regions."""
+    def halves(self, unit: np.ndarray, apart: dict[tuple[int, int], np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per half: the nearest code of every vector, and lower bounds of the distances to all codes' regions.
+
+        ``apart`` keeps the distances between codes from one call to the next.
+        """
         d = unit.shape[1]
         books = self.books.get(d) or (np.zeros((1, d // 2)), np.zeros((1, d - d // 2)))
-        return [regions(part, book) for part, book in zip((unit[:, : d // 2], unit[:, d // 2 :]), books)]
+        for half, book in enumerate(books):
+            if (d, half) not in apart:
+                apart[d, half] = between(book)
+        return [regions(part, book, apart[d, half]) for half, (part, book) in enumerate(zip((unit[:, : d // 2], unit[:, d // 2 :]), books))]
+
 
+def between(book: np.ndarray) -> np.ndarray:
+    """The distances between all codes."""
+    return np.array([np.sqrt(((book - code) ** 2).sum(1)) for code in book])
 
-def regions(part: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nearest codes, and for each vector and code the largest distance to a plane that keeps it out of the code's region."""
+
+def regions(part: np.ndarray, book: np.ndarray, apart: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest codes, and for each vector and code a distance that keeps it out of the code's region.
+
+    A region is bounded by the planes halfway to other codes. Looked at are the planes towards the ``PLANES`` codes nearest to
+    the vector, which are the farthest from it, so the work per vector grows with the number of codes alone.
+    """
+    apart = between(book) if apart is None else apart
     far = ((part[:, None, :] - book[None, :, :]) ** 2).sum(2) if len(book) < 64 else np.maximum(
         (part**2).sum(1)[:, None] + (book**2).sum(1)[None, :] - 2 * part @ book.T, 0
     )
     near = far.argmin(1)
-    apart = np.sqrt(((book[:, None, :] - book[None, :, :]) ** 2).sum(2))
+    close = np.argpartition(far, PLANES - 1, axis=1)[:, :PLANES] if len(book) > PLANES else np.tile(np.arange(len(book)), (len(part), 1))
     bound = np.zeros_like(far)
-    for a in range(len(book)):
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gap = (far - far[:, a : a + 1]) / (2 * apart[a][None, :])
-        np.maximum(bound, np.nan_to_num(gap, nan=0.0, posinf=0.0, neginf=0.0), out=bound)
+    for a in close.T:
+        gap = (far - np.take_along_axis(far, a[:, None], 1)) / (2 * np.maximum(apart[a], 1e-300))
+        # Codes this close together are told apart by rounding only.
+        gap[apart[a] < 1e-5] = 0
+        np.maximum(bound, gap, out=bound)
     return near, np.maximum(bound - 1e-9, 0)
 
 
@@ -139,13 +158,14 @@ def _place(index: Index):
     """
 
     def work(batches: Batches) -> Batches:
+        apart: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             size = np.array([len(v) for v in batch.column("vec")], np.int64)
             for d in np.unique(size):
                 rows = np.flatnonzero(size == d)
                 part = batch.take(pa.array(rows))
                 unit = unit_rows(_matrix(part.column("vec"), 0, len(rows)))
-                (own1, low1), (own2, low2) = index.halves(unit)
+                (own1, low1), (own2, low2) = index.halves(unit, apart)
                 stop = index.stop(int(d))
                 at, first, second, asks = [*range(len(rows))], own1.tolist(), own2.tolist(), [False] * len(rows)
                 for k, home in enumerate(zip(first[:], second[:])):
