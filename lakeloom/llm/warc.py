@@ -207,13 +207,13 @@ FIELDS = "type string, record_id string, refers_to string, target_uri string, da
 
 
 def responses(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(key, warc): one response record per page. Null url and html count as empty."""
+    """(key, warc): one response record per page. Null url and html count as empty; a null key is named apart from every text."""
     rows = pages.select(F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"))
     kind = rows.schema["key"].dataType.simpleString()
 
     def work(batches: Batches) -> Batches:
         for batch in batches:
-            made = [response(str(k), u or "", h or "") for k, u, h in zip(*[c.to_pylist() for c in batch.columns])]
+            made = [response("\0" if k is None else str(k), u or "", h or "") for k, u, h in zip(*[c.to_pylist() for c in batch.columns])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["key", "warc"])
 
     return map_batches(rows, work, f"key {kind}, warc binary", 500)

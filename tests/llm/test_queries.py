@@ -1,16 +1,22 @@
 """The registered queries and the pipeline, over whole tables, against brute force."""
 
+import base64
+import hashlib
+import re
+import struct
 import zlib
+from html import unescape
 
 import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+import xxhash
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lakeloom.llm import quality_rules
+from lakeloom.llm import quality_classifier, quality_rules, toxicity, warc
 from lakeloom.llm.queries import ORACLE, QUERIES
 from tests.helpers import plan
 from tests.llm.cases import no_rows, odd_documents
@@ -50,11 +56,59 @@ def test_native_queries_have_no_python(spark):
         assert not any(w in text for w in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
 
 
+def plain_article(page):
+    """What stands between the article tags, cut at block tags."""
+    inner = page[page.index("<article>") + len("<article>") : page.index("</article>")]
+    inner = re.sub(r"<!--.*?-->", "", inner, flags=re.S)
+    parts = re.split(r"</?(?:p|h1|h2|h3|ul|ol|li|div|blockquote|table|tr|td)\b[^>]*>", inner)
+    parts = [unescape(re.sub(r"<[^>]+>", "", re.sub(r"<br[^>]*>", " ", x))) for x in parts]
+    return "\n\n".join(t for x in parts if (t := " ".join(x.split())))
+
+
 def test_op1(spark):
     got, pages = run(spark, "op1_html_extraction"), read("pages")
     assert {g["page_id"]: g["url"] for g in got} == {p["page_id"]: p["url"] for p in pages} and len(got) == len(pages)
-    for g in got:
-        assert g["n_chars"] == len(g["text"]) > 0 and "<p>" not in g["text"] and "©" not in g["text"]
+    want = {p["page_id"]: plain_article(p["html"]) for p in pages}
+    assert {g["page_id"]: g["text"] for g in got} == want
+    assert all(g["n_chars"] == len(g["text"]) > 0 for g in got)
+
+
+def test_op2_scores_are_products_over_listed_words(spark, docs):
+    """The learned list, counted again over the labelled texts, and every score from it."""
+    frame = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    model = toxicity.learn(frame, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    costs = model.costs.tolist()
+
+    def held(text):
+        words = {w for token in text.lower().split() for w in toxicity.readings(token, costs)}
+        words |= {w for r in toxicity.spaced(text.lower()) for w in toxicity.decode(r, costs).split()}
+        return {f for w in words for f in toxicity.features(w)}
+
+    found = {i: held(t or "") for i, t in docs.items()}
+    marked = {r["doc_id"]: r["toxic"] for r in read("labels") if r["toxic"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2}
+    # Near copies count once, so plain counts are the upper bound.
+    for feature, weight in model.weights.items():
+        n = sum(t == 1 and feature in found[i] for i, t in marked.items() if i in docs)
+        assert n >= 3 and 0.5 <= weight < 1
+    for g in run(spark, "op2_toxicity"):
+        rest = 1 - model.base
+        for feature in found[g["doc_id"]] & set(model.weights):
+            rest *= 1 - model.weights[feature]
+        assert g["score"] == pytest.approx(1 - rest, abs=1e-12)
+
+
+def test_op9_scores_are_the_model_of_plain_features(spark, docs):
+    """The model learned without Spark from the same labelled texts, and every score from it."""
+    marked = {}
+    for r in read("labels"):
+        if r["quality"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2 and r["doc_id"] in docs:
+            marked[r["doc_id"]] = max(marked.get(r["doc_id"], 0), r["quality"])
+    order = sorted(marked, key=lambda i: (lambda h: h - (1 << 64) if h >> 63 else h)(xxhash.xxh64_intdigest(struct.pack("<q", i), 42)))
+    x = np.array([quality_classifier.features(docs[i]) for i in order])
+    model = quality_classifier.rank(x, np.array([marked[i] for i in order]))
+    for g in run(spark, "op9_quality_classifier"):
+        want = model.score(np.array([quality_classifier.features(docs[g["doc_id"]])]))[0]
+        assert g["score"] == pytest.approx(want, abs=1e-6) and g["predicted"] == int(g["score"] >= 0.7)
 
 
 @pytest.mark.parametrize("key, bar", [("op2_toxicity", 0.3), ("op9_quality_classifier", 0.7)])
@@ -67,9 +121,22 @@ def test_scores(spark, key, bar, docs):
 
 
 def test_op3(spark):
-    got, pages = run(spark, "op3_warc_derivatives"), read("pages")
+    """Every record against one built by hand from the page."""
+    got, pages = run(spark, "op3_warc_derivatives"), {p["page_id"]: p for p in read("pages")}
     assert len(got) == 2 * len(pages) and len({g["record_id"] for g in got}) == len(got)
-    assert {(g["page_id"], g["type"]) for g in got} == {(p["page_id"], t) for p in pages for t in ("metadata", "conversion")}
+    for g in got:
+        page = pages[g["page_id"]]
+        raw = warc.response(str(page["page_id"]), page["url"], page["html"])
+        head, _, block = raw.partition(b"\r\n\r\n")
+        named = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+        body = block.partition(b"\r\n\r\n")[2][: len(page["html"].encode())]
+        assert body == page["html"].encode() and g["refers_to"] == named["WARC-Record-ID"]
+        assert g["payload_digest"] == named["WARC-Payload-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode()
+        assert (g["target_uri"], g["date"], g["type"] in ("metadata", "conversion")) == (page["url"], named["WARC-Date"], True)
+        made = next(m for m in warc.derive(raw) if m["type"] == g["type"])
+        assert g["record_crc32"] == zlib.crc32(made["record"]) and g["record_id"] == made["record_id"]
+        content = made["record"].partition(b"\r\n\r\n")[2][: g["content_length"]]
+        assert g["block_digest"] == "sha1:" + base64.b32encode(hashlib.sha1(content).digest()).decode()
 
 
 def test_op4(spark, docs):
