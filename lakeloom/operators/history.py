@@ -189,7 +189,8 @@ def splice(
     windows = met.filter(inside)
     # An open version stands for its rows where all new ones come later.
     open_rows = windows.filter("not _late").select(*columns, start.alias(sequence_by))
-    rows = fresh.unionByName(open_rows)
+    # The session of the history plans what follows: a stream's own has no adaptive execution.
+    rows = open_rows.unionByName(fresh)
     late = windows.filter("_late").groupBy("_key").agg(F.first("_from").alias("_from"), F.max(F.struct(start.alias("s"), F.col(END).alias("e")))["e"].alias("_to"))
     late = cut(late, "late")
     if not late.isEmpty():
@@ -197,7 +198,7 @@ def splice(
             raise ValueError("rows come late and the earlier ones are not given")
         again = seen().withColumn("_key", key).join(late, "_key")
         again = again.filter((F.col("_from").isNull() | (seq >= F.col("_from"))) & (F.col("_to").isNull() | (seq < F.col("_to"))))
-        rows = rows.unionByName(again.select(*fresh.columns)).distinct()
+        rows = rows.unionByName(again.select(*[F.col(f"`{c}`") for c in fresh.columns])).distinct()
     built = scd2(cut(rows, "rows"), keys, sequence_by, track_except, with_last=True).withColumn("_key", key)
     carried = windows.filter("not _late").select("_key", F.col(START).alias("_start"), F.col(LAST).alias("_last"))
     built = built.join(late.select("_key", "_to"), "_key", "left").join(carried, "_key", "left")
