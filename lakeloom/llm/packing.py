@@ -46,8 +46,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = worker_store(f"words {path}")
-        self.parts = worker_store(f"parts {path}")
+        self.known, self.parts = worker_store("packing", path, "words", "parts")
         made = json.loads(self.tokenizer.to_str())
         steps = [n["type"] for n in made["normalizer"]["normalizers"]]
         self.plain = steps == ["NFC", "Replace", "Lowercase"]

@@ -355,7 +355,7 @@ class Codec:
 
     def __init__(self, vocabulary: Vocabulary, name: str = ""):
         self.matcher = Matcher(vocabulary)
-        self.known = worker_store(f"pieces {name}")
+        (self.known,) = worker_store("pieces", name, "words")
         v = vocabulary
         self.spelling = [p.encode("utf-8") for p in v.pieces]
         if v.first_byte >= 0:

@@ -57,10 +57,26 @@ def free_name(df: DataFrame, wish: str) -> str:
 Batches = Iterator[pa.RecordBatch]
 
 
-def worker_store(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker, so that tasks after the first find it filled.
+def worker_store(owner: str, name: str, *kinds: str) -> list[dict]:
+    """Dictionaries that live as long as the Python worker, so that tasks after the first find them filled, one per kind.
 
-    For values that follow from their key alone (a word and its ids): it changes the time, never a result.
+    For values that follow from ``name`` and their key alone (a word and its ids): it changes the time, never a result. A worker
+    holds those of one owner and name; others start anew and let them go.
     """
     module = sys.modules.setdefault("_lakeloom_worker", types.ModuleType("_lakeloom_worker"))
-    return vars(module).setdefault(name, {})
+    if vars(module).get("holder") != (owner, name):
+        module.holder, module.stores = (owner, name), {}
+    return [module.stores.setdefault(kind, {}) for kind in kinds]
+
+
+def scored_by_text(work: Callable[[list[str]], list[float]], rows: int = 500) -> Callable:
+    """An Arrow function from a text column to doubles; ``work`` gets the texts, nulls as empty ones, in parts of ``rows``."""
+
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        out: list[float] = []
+        for i in range(0, len(texts), rows):
+            out += work([t or "" for t in texts.slice(i, rows).to_pylist()])
+        return pa.array(out, pa.float64())
+
+    return scored

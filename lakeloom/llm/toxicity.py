@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.tasks import Batches, free_name, map_batches, only, worker_store
+from lakeloom.llm.tasks import Batches, free_name, map_batches, only, scored_by_text, worker_store
 from lakeloom.session import cut
 
 # Labelled rows used to learn, at most; taken in the order of a hash of their key.
@@ -27,7 +27,7 @@ SAMPLE = 20_000
 # Word beginnings looked at, in characters.
 STEMS = (4, 5, 6, 7)
 # Features whose counts a task holds before it passes them on.
-COUNTED = 1_000_000
+COUNTED = 200_000
 # Words whose reading a worker remembers.
 KNOWN = 300_000
 
@@ -412,23 +412,20 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     """All columns of ``docs`` and ``score``: 1 minus the product of (1 - weight) over the listed words and stems
     that the restored text holds, and over the base rate. A null or empty text scores the base rate."""
     weights, base, costs = model.weights, model.base, model.costs
-    store = f"toxicity {hash((tuple(sorted(weights.items())), base, float(costs.sum())))}"
+    store = str(hash((tuple(sorted(weights.items())), base, float(costs.sum()))))
 
-    @F.pandas_udf("double")
-    def scored(texts):
-        import pandas as pd
-
-        known, table = worker_store(store), None
-        if "table" not in known:
-            known["table"], known["tokens"] = costs.tolist(), {}
-        table, tokens = known["table"], known["tokens"]
+    def scored(texts: list[str]) -> list[float]:
+        once, tokens = worker_store("toxicity", store, "once", "tokens")
+        if "table" not in once:
+            once["table"] = costs.tolist()
+        table = once["table"]
 
         def hits(words) -> tuple[str, ...]:
             return tuple({f for w in words for f in features(w) if f in weights})
 
         out = []
         for text in texts:
-            text = (text or "").lower()
+            text = text.lower()
             found: set[str] = set()
             for token in set(text.split()):
                 hit = tokens.get(token)
@@ -444,9 +441,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
             for f in found:
                 rest *= 1 - weights[f]
             out.append(1 - rest)
-        return pd.Series(out, dtype="float64")
+        return out
 
-    return docs.withColumn(name, scored(F.col(f"`{text}`")))
+    return docs.withColumn(name, scored_by_text(scored)(F.col(f"`{text}`")))
 
 
 def clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, key: str = "doc_id", text: str = "text") -> DataFrame:
