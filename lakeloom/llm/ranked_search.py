@@ -82,7 +82,12 @@ class Tree:
         return Tree(height, quarters, peak, 2 + np.cumsum(below) - below)
 
     def best(self, lines: np.ndarray, weights: np.ndarray, k: int, floor: int = 1) -> tuple[np.ndarray, np.ndarray]:
-        """Columns and scores of at least ``floor``: the k highest and all that tie with the last of them."""
+        """Columns and scores of at least ``floor``: the k highest and all that tie with the last of them.
+
+        Lines beyond the tree hold nothing.
+        """
+        held = lines < 1 << self.height
+        lines, weights = lines[held], weights[held]
         kind = np.float64 if float(weights.sum()) * max(1, int(self.peak.max())) < 1 << 53 else np.int64
         weights = weights.astype(kind)
         level, column, node = np.zeros(1, np.int64), np.zeros(1, np.int64), np.full((1, len(lines)), min(1, len(self.peak) - 1))
