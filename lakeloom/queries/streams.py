@@ -11,6 +11,7 @@ from lakeloom.queries.base import query
 from lakeloom.queries.history import _EVENT_HISTORY, _HISTORY_COLUMNS
 from lakeloom.queries.inputs import SNAPSHOTS
 from lakeloom.queries.layers import _WEATHER_SQL, _weather
+from lakeloom.session import is_folder
 from lakeloom.sinks.tables import read_flagged, save_table, write_folders
 from lakeloom.streaming import flows as T
 
@@ -19,7 +20,11 @@ _EVENT_COLUMNS = "event_id, ts, user_id, event_type, value, props"
 
 
 def _stream(t, name="events"):
-    return T.file_stream(t.spark, t.folder, getattr(t, name).schema, f"{name}.parquet")
+    """A table as a stream, be it one file or a folder of files."""
+    schema = getattr(t, name).schema
+    if is_folder(t.spark, t.path(name)):
+        return T.file_stream(t.spark, t.path(name), schema)
+    return T.file_stream(t.spark, t.folder, schema, f"{name}.parquet")
 
 
 def _landed(t, stream, partition_by=()):

@@ -66,6 +66,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a folder lies at the path, in any store that Spark reaches."""
+    system, place = _file_system(spark, path)
+    return system.exists(place) and system.getFileStatus(place).isDirectory()
+
+
 def names_below(spark: SparkSession, path: str) -> list[str]:
     """Names of the files and folders in a folder; none if it does not exist."""
     system, place = _file_system(spark, path)

@@ -1,8 +1,11 @@
 import random
+import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators.history import END, LAST, START, scd1, scd2
+from lakeloom.queries import QUERIES
 from lakeloom.session import scratch
 from lakeloom.streaming import flows as T
 from tests.helpers import rows
@@ -144,3 +147,24 @@ def test_counts_per_batch_survive_a_restart(spark):
         for _ in range(2):
             T.run_quarantine(T.file_stream(spark, source, SCHEMA), {"positive": "seq > 0", "x": "state = 'x'"}, f"{out}/rows", f"{out}/check", f"{out}/metrics")
     assert rows(T.rule_counts(spark, f"{out}/metrics")) == [("positive", 1, 0, 1), ("positive", 1, 1, 0), ("x", 0, 1, 1), ("x", 1, 1, 0)]
+
+
+DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def written(spark, frame, table, parts):
+    """A folder of tables, with one written as one file or as a folder of ``parts`` files."""
+    folder = tempfile.mkdtemp(prefix="tables-", dir="/tmp")
+    if parts:
+        frame.repartition(parts).write.parquet(f"{folder}/{table}.parquet")
+    else:
+        frame.toPandas().to_parquet(f"{folder}/{table}.parquet")
+    spark.range(3).write.parquet(f"{folder}/other.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("parts", (0, 3))
+def test_streaming_table_reads_files_and_folders(spark, parts):
+    data = [(i, f"t{i}", "en", f"s{i}", 2) for i in range(7)]
+    folder = written(spark, spark.createDataFrame(data, DOCUMENTS), "documents", parts)
+    assert rows(QUERIES["k12_streaming_table"](spark, folder)) == [(i, lang, source, n) for i, _, lang, source, n in data]
