@@ -168,3 +168,10 @@ def test_streaming_table_reads_files_and_folders(spark, parts):
     data = [(i, f"t{i}", "en", f"s{i}", 2) for i in range(7)]
     folder = written(spark, spark.createDataFrame(data, DOCUMENTS), "documents", parts)
     assert rows(QUERIES["k12_streaming_table"](spark, folder)) == [(i, lang, source, n) for i, _, lang, source, n in data]
+
+
+@pytest.mark.parametrize("parts", (0, 3))
+def test_stream_sink_reads_files_and_folders(spark, parts):
+    data = [(i, f"https://h{i}.net/a", "") for i in range(7)]
+    folder = written(spark, spark.createDataFrame(data, "page_id bigint, url string, html string"), "pages", parts)
+    assert rows(QUERIES["k13_stream_sink"](spark, folder)) == [(i, url, f"h{i}.net") for i, url, _ in data]
