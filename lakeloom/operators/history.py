@@ -58,14 +58,62 @@ def scd2(
     tracked hold the newest value of the version. Of rows with equal key and sequence the one with the largest
     ``ties`` counts; without ``ties`` such rows fail the job.
 
-    A key's rows are worked on in pieces, by default up to 128 with about equally many rows of the table. Changes are found inside (key, chunk) groups; one row per group
-    then tells each chunk how the one before it ended; versions are put together by an aggregation
-    that works inside every task first. ``chunk`` must not decrease along the sequence; without it the sequence is a number,
-    date or time. ``with_last`` adds the sequence of each version's newest row.
+    A key with few rows is worked on as a whole, in one sort of its rows. One with more than ``PIECE_ROWS`` or a null sequence, or
+    every key if ``chunk`` is given, goes in pieces, by default up to 128 with about equally many rows of those keys, so that no task holds a
+    long key. ``chunk`` must not decrease along the sequence; without it the sequence is a number, date or time, if there are
+    such keys. ``with_last`` adds the sequence of each version's newest row.
     """
     keys = list(keys)
     if ties:
         rows = newest(rows, [*keys, sequence_by], [F.col(c).desc() for c in ties])
+    if chunk is not None:
+        return _versions_by_piece(rows, keys, sequence_by, track_except, chunk, with_last)
+    as_number(rows, sequence_by)  # refuses what pieces cannot be made of, whatever the rows
+    key, size = F.struct(*[F.col(f"`{k}`") for k in keys]), F.count(F.lit(1))
+    sizes = rows.groupBy(key.alias("_long")).agg(size.alias("_n"), F.count(F.col(sequence_by)).alias("_placed"))
+    long = cut(sizes.filter((F.col("_n") > PIECE_ROWS) | (F.col("_placed") < F.col("_n"))).select("_long"), "long")
+    # Rows are dealt by key and kind of key; the kind comes with the short list of long keys.
+    dealt = rows.join(long, key == F.col("_long"), "left").withColumn("_piece", F.when(F.col("_long").isNull(), 0).otherwise(1))
+    if long.isEmpty():
+        return _versions_by_key(dealt, rows.columns, keys, sequence_by, track_except, with_last)
+    short = _versions_by_key(dealt.filter("_piece = 0"), rows.columns, keys, sequence_by, track_except, with_last)
+    pieced = dealt.filter("_piece = 1").drop("_long", "_piece")
+    return short.union(_versions_by_piece(pieced, keys, sequence_by, track_except, None, with_last))
+
+
+def _versions_by_key(
+    rows: DataFrame, columns: Sequence[str], keys: Sequence[str], sequence_by: str, track_except: Sequence[str], with_last: bool
+) -> DataFrame:
+    """:func:`scd2` of keys with one ``_piece``, all rows of a key in one task: the newest row of each version speaks for it."""
+    plain = [c for c in columns if c not in keys and c != sequence_by]
+    tracked = [c for c in plain if c not in track_except] or [sequence_by]
+    seq, state = F.col(sequence_by), F.struct(*tracked)
+    along = Window.partitionBy(*keys, "_piece").orderBy(seq)
+    starts = (
+        F.when(F.lag(F.lit(True)).over(along).isNull(), True)
+        .when(F.lag(seq).over(along) == seq, _refused("a key has two rows with one sequence value"))
+        .otherwise(~F.lag(state).over(along).eqNullSafe(state))
+    )
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    versioned = rows.withColumn("_starts", starts).select(
+        "*",
+        F.last(F.when(F.col("_starts"), seq), ignorenulls=True).over(so_far).alias("_version"),
+        F.coalesce(F.lead("_starts").over(along), F.lit(True)).alias("_newest"),
+        F.lead(seq).over(along).alias("_following"),
+    )
+    return versioned.filter("_newest").select(
+        *keys, *plain, F.col("_version").alias(START), F.col("_following").alias(END), *[seq.alias(LAST)] * with_last
+    )
+
+
+def _versions_by_piece(
+    rows: DataFrame, keys: Sequence[str], sequence_by: str, track_except: Sequence[str], chunk: Column | None, with_last: bool
+) -> DataFrame:
+    """:func:`scd2` with a key's rows in pieces.
+
+    Changes are found inside (key, chunk) groups; one row per group then tells each chunk how the one before it ended;
+    versions are put together by an aggregation that works inside every task first.
+    """
     plain = [c for c in rows.columns if c not in keys and c != sequence_by]
     tracked = [c for c in plain if c not in track_except] or [sequence_by]
     seq = F.col(sequence_by)

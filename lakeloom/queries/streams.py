@@ -184,12 +184,16 @@ def _(t):
     return counts.withColumn("quarantined", held.agg(F.count(F.lit(1))).scalar())
 
 
+# Batches that the events come in, and files of each, which are read side by side.
+_BATCHES, _FILES = 3, 8
+
+
 def _event_parts(t):
-    """The events in a few files of mixed times, so that rows also come late."""
+    """The events in a few batches of mixed times, so that rows also come late."""
     folder = t.scratch("parts")
     rows = t.events.select("user_id", "ts", "event_type", "value", "event_id")
-    rows.repartition(3, "event_id").write.parquet(folder)
-    return T.file_stream(t.spark, folder, rows.schema, files_per_batch=1)
+    rows.repartition(_BATCHES * _FILES, "event_id").write.parquet(folder)
+    return T.file_stream(t.spark, folder, rows.schema, files_per_batch=_FILES)
 
 
 @query(

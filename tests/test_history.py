@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators import history as H
 from lakeloom.plans import generators as N
-from tests.helpers import rows
+from tests.helpers import plan, rows
 
 
 def brute_scd2(data):
@@ -36,6 +36,22 @@ def test_scd2_equals_brute_force_for_any_chunk(spark, width):
     assert rows(result.select("key", "state", "other", H.START, H.END)) == brute_scd2(data)
 
 
+def test_scd2_of_long_and_short_keys_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(H, "PIECE_ROWS", 20)
+    rng = random.Random(11)
+    data = [(k, s, rng.choice(["a", "b", None]), s * 10) for k, n in (("long", 90), (None, 40), ("edge", 20), ("short", 3)) for s in rng.sample(range(400), n)]
+    df = spark.createDataFrame(data, "key string, seq int, state string, other int")
+    result = H.scd2(df, ["key"], "seq", ["other"])
+    assert rows(result.select("key", "state", "other", H.START, H.END)) == brute_scd2(data)
+    last = {(r[0], r[1]): r[2] for r in rows(H.scd2(df, ["key"], "seq", ["other"], with_last=True).select("key", H.START, H.LAST))}
+    assert last == {(r[0], r[3]): r[2] // 10 for r in brute_scd2(data)}
+
+
+def test_scd2_of_short_keys_deals_and_sorts_the_rows_once(spark):
+    text = plan(H.scd2(spark.range(50).selectExpr("id % 7 as key", "id as seq", "id % 3 as state"), ["key"], "seq"))
+    assert text.count("Exchange hashpartitioning") == text.count("Sort [") == 1 and "SortMergeJoin" not in text
+
+
 def test_scd2_run_over_many_chunks_is_one_version(spark):
     data = [("k", s, "same", s) for s in range(50)]
     df = spark.createDataFrame(data, "key string, seq int, state string, other int")
