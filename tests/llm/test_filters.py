@@ -229,6 +229,36 @@ def test_pairs_teach_the_order():
     assert ((model.score(x) >= 0.7) == (label == 1)).mean() > 0.97
 
 
+def test_all_pairs_teach_not_a_draw_of_them():
+    """The weights minimise the log loss over every pair of a good and a bad row; near a plain sum over all pairs."""
+    r = np.random.default_rng(7)
+    x = r.random((1200, len(quality_classifier.NAMES)))
+    label = (x[:, 3] + 0.3 * r.standard_normal(1200) > 0.5).astype(int)
+    model = quality_classifier.rank(x, label)
+    z = (quality_classifier.bend(x) - model.mean) / model.scale
+    diff = (z[label == 1][:, None] - z[label == 0][None]).reshape(-1, z.shape[1])
+    p = 1 / (1 + np.exp(diff @ model.weights))
+    slope = quality_classifier.PENALTY * model.weights - diff.T @ p / len(diff)
+    assert np.abs(slope).max() < 1e-4
+    raw = np.round(model.raw(x), 9)
+    fewest = min(((raw >= t) != (label == 1)).sum() for t in [*np.unique(raw), raw.max() + 1])
+    assert ((model.score(x) >= 0.7) != (label == 1)).sum() == fewest
+
+
+def test_every_labelled_row_counts(spark, monkeypatch):
+    """As many rows as before, but more than the 20,000 that once were enough: all are measured and added up."""
+    monkeypatch.setattr(quality_classifier, "features", lambda t: [float(v) for v in np.random.default_rng(len(t or "")).random(len(quality_classifier.NAMES))])
+    docs = spark.range(30_000).selectExpr("id as doc_id", "repeat('a', int(id % 997)) as text")
+    marks = spark.range(30_000).selectExpr("id as doc_id", "int(id % 997 % 3 > 0) as quality")
+    model = quality_classifier.learn(docs, marks)
+    ids = [r[0] for r in docs.filter(~toxicity.held_out(docs.doc_id)).select("doc_id").collect()]
+    assert len(ids) > 20_000
+    table = np.array([quality_classifier.features("a" * i) for i in range(997)])
+    want = quality_classifier.rank(table[[i % 997 for i in ids]], np.array([int(i % 997 % 3 > 0) for i in ids]))
+    for name in ("mean", "scale", "weights", "threshold", "width"):
+        assert np.allclose(getattr(model, name), getattr(want, name), atol=1e-7), name
+
+
 def test_odd_rows_of_classifier(spark):
     docs = odd_documents(spark)
     for rows, marks in ((docs, labels(spark)), (docs, no_rows(labels(spark))), (no_rows(docs), labels(spark))):
