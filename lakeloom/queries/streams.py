@@ -20,11 +20,12 @@ _EVENT_COLUMNS = "event_id, ts, user_id, event_type, value, props"
 
 
 def _stream(t, name="events"):
-    """A table as a stream, be it one file or a folder of files."""
+    """A table as a stream, be it one file or a folder of files; the tables beside it are not looked at."""
     schema = getattr(t, name).schema
     if is_folder(t.spark, t.path(name)):
         return T.file_stream(t.spark, t.path(name), schema)
-    return T.file_stream(t.spark, t.folder, schema, f"{name}.parquet")
+    # A stream starts at a folder or a wildcard; this one fits the file alone.
+    return T.file_stream(t.spark, f"{t.folder}/[{name[0]}]{name[1:]}.parquet", schema)
 
 
 def _landed(t, stream, partition_by=()):

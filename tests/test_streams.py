@@ -175,3 +175,12 @@ def test_stream_sink_reads_files_and_folders(spark, parts):
     data = [(i, f"https://h{i}.net/a", "") for i in range(7)]
     folder = written(spark, spark.createDataFrame(data, "page_id bigint, url string, html string"), "pages", parts)
     assert rows(QUERIES["k13_stream_sink"](spark, folder)) == [(i, url, f"h{i}.net") for i, url, _ in data]
+
+
+@pytest.mark.parametrize("parts", (0, 3))
+def test_stream_sink_beside_a_table_in_partition_folders(spark, parts):
+    data = [(1, "https://h1.net/a", "x"), (2, None, "y"), (2, "https://h2.net", None)]
+    folder = written(spark, spark.createDataFrame(data, "page_id bigint, url string, html string"), "pages", parts)
+    spark.range(6).withColumn("kind", F.col("id") % 2).write.partitionBy("kind").parquet(f"{folder}/kinds.parquet")
+    spark.range(3).write.parquet(f"{folder}/my_pages.parquet")
+    assert rows(QUERIES["k13_stream_sink"](spark, folder)) == [(1, "https://h1.net/a", "h1.net"), (2, "https://h2.net", "h2.net"), (2, None, None)]
