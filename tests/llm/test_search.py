@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -79,6 +80,82 @@ def test_bounds_leave_only_what_can_matter():
     assert set(inside[np.argsort(-score[inside])][:10]) <= set(at) and len(at) < 200
 
 
+def broadcast_bytes(df):
+    """Bytes that running the frame sends through the driver."""
+    run = df._jdf.queryExecution()
+    run.toRdd().count()
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "BroadcastExchangeExec":
+            return node.metrics().apply("dataSize").value()
+        inner = [node.executedPlan()] if name == "AdaptiveSparkPlanExec" else [node.plan()] if name.endswith("QueryStageExec") else [node.children().apply(i) for i in range(node.children().size())]
+        return sum(map(walk, inner))
+
+    return walk(run.executedPlan())
+
+
+def test_anchors_pass_the_driver_once(spark, monkeypatch):
+    """What is broadcast does not grow with the number of blocks."""
+    sent, plain = [], hard_negatives.map_batches
+    monkeypatch.setattr(hard_negatives, "map_batches", lambda df, *a, **b: sent.append(broadcast_bytes(df)) or plain(df, *a, **b))
+    monkeypatch.setattr(hard_negatives, "BLOCK", 8)
+    r = np.random.default_rng(8)
+    rows = [(i, i % 2, r.normal(size=32).tolist()) for i in range(3000)]
+    table = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = hard_negatives.mine(table, F.col("vec_id") % 10 == 0)
+    assert got.select("anchor_id").distinct().count() == 300 and len(sent) > 2
+    # 300 anchors are 0.1 MB, beside 375 blocks they would be 40; a table of keys alone takes a few.
+    assert max(sent) < 8e6
+
+
+def test_chunks_of_anchors_against_brute_force(spark, monkeypatch):
+    r = np.random.default_rng(9)
+    rows = [(i, f"l{r.integers(3)}", r.normal(size=6).round(1).tolist()) for i in range(200)]
+    rows += rows[:10] + [(300 + i, "l0", [1e6 * (i - 4), 2.0, 1.0, 0.0, 0.0, 3.0]) for i in range(8)] + [(400 + i, "l1", [1e5 * i, 1e4]) for i in range(30)]
+    table = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")
+    for name, size in (("BLOCK", 16), ("TILE", 5), ("CHUNK", 20_000)):
+        monkeypatch.setattr(hard_negatives, name, size)
+    got = [tuple(x) for x in hard_negatives.mine(table, F.col("vec_id") % 5 == 0).collect()]
+    assert len(got) > 500 and sorted(got) == brute_negatives(rows, lambda k: k % 5 == 0)
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 12, 1 << 40])
+def test_groups_keep_the_best_of_all_blocks(monkeypatch, scale):
+    """Over several blocks, in single and double precision and Python's whole numbers; with columns that fade, few anchors read the last ones."""
+    alone, plain = [], hard_negatives.scan
+    monkeypatch.setattr(hard_negatives, "scan", lambda columns, *a: alone.append(len(columns)) or plain(columns, *a))
+    r = np.random.default_rng(10)
+    n, d, k, anchors = 3000, 32, 2, 24
+    codes = (r.normal(size=(n, d)) * 100 * 0.7 ** np.arange(d)).astype(np.int64)
+    codes[100:110] = codes[50]
+    codes *= np.where(np.arange(d) < 2, scale, 1)
+    label, key = r.integers(0, 3, n), r.permutation(n) // 2
+    score = [[sum(x * y for x, y in zip(a, b)) for b in codes.tolist()] for a in codes[:anchors].tolist()]
+
+    def best(a, fits, least, most):
+        order = sorted((i for i in range(n) if fits[i] and least <= score[a][i] <= most), key=lambda i: (-score[a][i], key[i], i))
+        return [(i, key[i], score[a][i]) for i in order[:k]]
+
+    windows = [[(max(s) * 3 // 10, max(s) * 9 // 10), (max(s) // 5, max(s) * 85 // 100)] for s in score]
+    for same in (True, False):
+        arr = pa.array([{"rid": i, "key": int(key[i]), "codes": codes[i].tolist()} for i in range(anchors)], pa.struct([("rid", pa.int64()), ("key", pa.int64()), ("codes", pa.list_(pa.int64()))]))
+        ends = [[(-math.inf, math.inf)] for _ in range(anchors)] if same else windows
+        least, most = (np.array([[w[e] for w in each] for each in ends], object).astype(float if scale == 1 else object) for e in (0, 1))
+        group = hard_negatives.Group(arr, least, most, k)
+        for first in range(0, n, 60):
+            at = slice(first, first + 60)
+            lists = [pa.array([x], pa.list_(pa.int64())) for x in (np.arange(first, first + 60), key[at], label[at])]
+            packed = pa.array([[hard_negatives._packed(c) for c in codes[at].T]], pa.list_(pa.binary()))
+            block = hard_negatives.Block(pa.RecordBatch.from_arrays([*lists, packed], ["rid", "key", "label", "columns"]), 0)
+            group.read(block, (label[:anchors, None] == label[at]) == same)
+        got = list(zip(*(x.tolist() for x in group.found()[:2]), *(list(x) for x in group.found()[2])))
+        clamp = lambda x: max(-(1 << 63), min((1 << 63) - 1, x))
+        want = [(a, w, i, kk, clamp(s)) for a in range(anchors) for w, e in enumerate(ends[a]) for i, kk, s in best(a, ((label == label[a]) == same) & (np.arange(n) != a), *e)]
+        assert got == want
+    assert alone and all(x < d for x in alone) == (scale < 1 << 40)
+
+
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
